@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import WORK_PATTERN, work_key
 from ..sources.tables import table
-from . import encode, mixture, stable_sample
+from . import encode, language, mixture, stable_sample
 
 
 def _wkey(c: str) -> str:
@@ -36,6 +36,36 @@ s AS (SELECT config_id, work_id, any_value(seed) AS seed, any_value(rate) AS rat
 SELECT config_id, work_id, weight FROM s
 WHERE CAST('0x' || substr(md5(work_id || ':' || CAST(seed AS VARCHAR)), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE < weight * rate"""
 
+# ---------------------------------------------------------------- languages
+
+
+def _identified(spark: SparkSession, d: str) -> DataFrame:
+    """Languages of every paper's abstract, next to the label of its work."""
+    samples = language.labelled_samples(table(spark, d, "language_samples"))
+    papers = table(spark, d, "papers").select("paper_id", work_key(F.col("work_id")).alias("key"), "abstract")
+    works = table(spark, d, "works").select(work_key(F.col("id")).alias("key"), "language")
+    # A bounded sample of labelled papers, the same in every run; all papers are then classified.
+    some = papers.where(F.col("abstract").isNotNull()).orderBy(F.xxhash64("paper_id"), "paper_id").limit(language.ADAPT_TEXTS)
+    named = works.join(F.broadcast(some), "key").groupBy("paper_id").agg(F.first(language.label_code(F.col("language"))).alias("code"), F.first(F.substring("abstract", 1, 5 * language.SAMPLE_CHARS)).alias("text"))
+    labelled = [(r.code, r.text) for r in named.where(F.col("code").isNotNull()).orderBy(F.xxhash64("paper_id"), "paper_id").collect()]  # at most ADAPT_TEXTS
+    model = language.adapt(language.fit(samples), samples, labelled)
+    found = language.identify(papers, "abstract", ["paper_id", "key"], model)
+    labels = works.groupBy("key").agg(F.max("language").alias("label"))
+    return found.join(labels, "key", "left")
+
+
+def p6_languages(spark: SparkSession, d: str) -> DataFrame:
+    """Every language of every abstract with its confidence, set against the label of the work."""
+    return _identified(spark, d).select("paper_id", "lang", "confidence", "n_sentences", "label", (language.label_code(F.col("label")) == F.col("lang")).alias("agrees"))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """Languages of abstracts whose label is missing or wrong, or that hold several."""
+    several = _identified(spark, d).groupBy("paper_id", "label").agg(F.collect_set("lang").alias("langs"))  # no more than there are models
+    agrees = F.coalesce(language.label_code(F.col("label")) == F.col("langs")[0], F.lit(False))
+    return several.where((F.size("langs") > 1) | ~agrees).select("paper_id", F.explode("langs").alias("lang"))
+
+
 # ---------------------------------------------------------------- token ids
 
 
@@ -61,5 +91,5 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.report(*_mixed(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p3_sample, p8_ids, p9_mix, p9_shares)}
+QUERIES = {f.__name__: f for f in (p3_sample, p6_found, p6_languages, p8_ids, p9_mix, p9_shares)}
 SQL = {"p3_sample": P3_SAMPLE}
