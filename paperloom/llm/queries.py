@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import WORK_PATTERN, work_key
+from ..runtime import settle
 from ..sources.tables import table
-from . import encode, language, mixture, stable_sample
+from . import encode, language, mixture, near_duplicates, stable_sample
 
 
 def _wkey(c: str) -> str:
@@ -66,6 +69,39 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return several.where((F.size("langs") > 1) | ~agrees).select("paper_id", F.explode("langs").alias("lang"))
 
 
+# ---------------------------------------------------------------- near-duplicates
+
+#: What counts as near for papers: shared runs of three words, with at least twenty words in the abstract.
+NEAR, RUN, LEAST_WORDS = Fraction(3, 5), 3, 20
+
+
+def _paper_sets(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    works = table(spark, d, "works").select(work_key(F.col("id")).alias("key"), "display_name").groupBy("key").agg(F.max("display_name").alias("name"))
+    papers = table(spark, d, "papers").select("paper_id", work_key(F.col("work_id")).alias("key"), near_duplicates.words(F.col("abstract")).alias("own"))
+    papers = papers.where(F.size("own") >= LEAST_WORDS)
+    named = papers.join(works, "key", "left").select(F.col("paper_id").alias("id"), F.concat(F.coalesce(near_duplicates.words(F.col("name")), F.array()), "own").alias("row"))
+    members, sets = near_duplicates.classes(named.select("id", near_duplicates.shingles(F.col("row"), RUN).alias("shingles")))
+    return members, sets, near_duplicates.similar_pairs(sets, NEAR)
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """All pairs of papers whose names and abstracts are nearly the same."""
+    members, _, pairs = _paper_sets(spark, d)
+    return near_duplicates.expand(pairs, members).select(F.col("id_a").alias("paper_a"), F.col("id_b").alias("paper_b"))
+
+
+def p7_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Every paper with its group, the class of equal texts it belongs to and that class's links to others."""
+    members, _, pairs = _paper_sets(spark, d)
+    pairs = settle(pairs, "pairs")
+    groups = near_duplicates.components(pairs)
+    links = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count(F.lit(1)).alias("links"))
+    known = members.join(groups.withColumnRenamed("id", "rep"), "rep", "left").join(links, "rep", "left")
+    every = table(spark, d, "papers").select(F.col("paper_id").alias("id")).join(known, "id", "left")
+    rep = F.coalesce("rep", "id")
+    return every.select(F.col("id").alias("paper_id"), F.coalesce("group", rep).alias("group_id"), rep.alias("class_id"), F.coalesce("links", F.lit(0)).alias("n_links"))
+
+
 # ---------------------------------------------------------------- token ids
 
 
@@ -91,5 +127,5 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.report(*_mixed(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p3_sample, p6_found, p6_languages, p8_ids, p9_mix, p9_shares)}
+QUERIES = {f.__name__: f for f in (p3_sample, p6_found, p6_languages, p7_found, p7_groups, p8_ids, p9_mix, p9_shares)}
 SQL = {"p3_sample": P3_SAMPLE}
