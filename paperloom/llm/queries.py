@@ -10,13 +10,33 @@ from pyspark.sql import functions as F
 from ..functions.ids import WORK_PATTERN, work_key
 from ..runtime import settle
 from ..sources.tables import table
-from . import encode, language, mixture, near_duplicates, stable_sample
+from . import encode, language, linkage, mixture, near_duplicates, stable_sample
 
 
 def _wkey(c: str) -> str:
     return f"(CASE WHEN regexp_extract({c}, '{WORK_PATTERN}', 1) <> '' THEN 'W' || regexp_extract({c}, '{WORK_PATTERN}', 1) END)"
 
 
+# ---------------------------------------------------------------- matching without keys
+
+
+def p1_links(spark: SparkSession, d: str) -> DataFrame:
+    """The work of every Scholar article that has one, with confidence."""
+    works, key = table(spark, d, "works"), work_key(F.col("id")).alias("work_id")
+    one = works.select(key, "display_name", "publication_date").where(F.col("work_id").isNotNull()).groupBy("work_id")
+    one = one.agg(F.max("display_name").alias("title"), F.year(F.min("publication_date")).alias("year"))
+    places = F.concat(F.array("primary_location"), F.coalesce("locations", F.array().cast(works.schema["locations"].dataType)))
+    named = F.flatten(F.transform(places, lambda p: F.array(p["source"]["display_name"], p["raw_source_name"])))
+    venues = works.select(key, F.explode(F.array_distinct(named)).alias("venue"))
+    venues = venues.unionByName(table(spark, d, "papers").select(work_key(F.col("work_id")).alias("work_id"), F.col("publication_venue").alias("venue")))
+    return linkage.link(table(spark, d, "scholar_articles"), one, venues)
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """Scholar articles that denote the same publication as a work."""
+    return p1_links(spark, d).select("article_id", "work_id")
+
+
 # ---------------------------------------------------------------- stable samples
 
 
@@ -127,5 +147,5 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.report(*_mixed(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p3_sample, p6_found, p6_languages, p7_found, p7_groups, p8_ids, p9_mix, p9_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_links, p3_sample, p6_found, p6_languages, p7_found, p7_groups, p8_ids, p9_mix, p9_shares)}
 SQL = {"p3_sample": P3_SAMPLE}
