@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from ..runtime import discard, settle
 
-#: Counters of shingle frequency: a fixed number, whatever the data's size, so what is broadcast is 1 MB.
-COUNTERS = 1 << 20
+#: Counters of shingle frequency: a fixed number, whatever the data's size, so what is broadcast is 256 KB.
+COUNTERS = 1 << 18
 WORD = r"[\p{L}\p{N}]+"
 
 
@@ -57,7 +57,7 @@ def classes(records: DataFrame) -> tuple[DataFrame, DataFrame]:
 def rarity(sets: DataFrame) -> np.ndarray:
     """How common the shingles of each counter are, on a scale of 0 to 255; counted over all sets, map-side first."""
     at = sets.select(F.explode("shingles").alias("x")).groupBy(F.pmod("x", F.lit(COUNTERS)).cast("int").alias("at"))
-    rows = at.agg(F.count(F.lit(1)).alias("n")).toPandas()  # at most COUNTERS rows
+    rows = at.agg(F.count(F.lit(1)).alias("n")).toArrow()  # at most COUNTERS rows
     scale = np.zeros(COUNTERS, np.uint8)
     scale[rows["at"].to_numpy()] = np.minimum(255, 8 * np.log2(rows["n"].to_numpy() + 1)).astype(np.uint8)
     return scale
