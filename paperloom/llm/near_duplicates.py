@@ -45,13 +45,18 @@ def shingles(row: Column, size: int) -> Column:
 
 
 def classes(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members (id, rep) and one row (rep, n, shingles) per distinct set of shingles, from rows (id, shingles)."""
+    """Members (id, rep) and one row (rep, n, shingles) per distinct set of shingles, from rows (id, shingles).
+
+    Only hashes of the sets are shuffled to find equal ones. The sets lose the other members by an anti join with those
+    alone, which Catalyst broadcasts where its size allows.
+    """
     ordered = records.select("id", F.array_sort("shingles").alias("s")).select("id", "s", F.xxhash64("s").alias("h1"), F.hash("s").alias("h2"), F.size("s").alias("n"))
     ordered = settle(ordered, "shingles")
     reps = ordered.groupBy("h1", "h2", "n").agg(F.min("id").alias("rep"))
     members = settle(ordered.select("id", "h1", "h2", "n").join(reps, ["h1", "h2", "n"]).select("id", "rep", "n"), "members")
-    kept = members.where(F.col("id") == F.col("rep")).select("rep")
-    return members, ordered.join(kept, ordered["id"] == kept["rep"], "left_semi").select(F.col("id").alias("rep"), "n", F.col("s").alias("shingles"))
+    others = settle(members.where(F.col("id") != F.col("rep")).select(F.col("id").alias("other")), "others")
+    sets = ordered.join(others, ordered["id"] == others["other"], "left_anti")
+    return members, sets.select(F.col("id").alias("rep"), "n", F.col("s").alias("shingles"))
 
 
 def rarity(sets: DataFrame) -> np.ndarray:
@@ -102,12 +107,36 @@ def similar_pairs(sets: DataFrame, threshold: Fraction) -> DataFrame:
     allowed = (F.col("a_n") + F.col("b_n")) * F.lit(t.denominator - t.numerator)  # apart <= (1-t)/(1+t) (a+b)
     near = (F.col("a_n") * down >= F.col("b_n") * up) & (F.col("b_n") * down >= F.col("a_n") * up) & (apart * F.lit(t.denominator + t.numerator) <= allowed)
     met = a.join(b, (a["sig"] == b["sig"]) & (F.col("a_rep") < F.col("b_rep")) & near).select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).distinct()
+    met = settle(met, "met")
+    sets = _among(sets, met.select(F.explode(F.array("a", "b")).alias("rep")))
     left = sets.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("s_a"))
     right = sets.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("s_b"))
     both = met.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("s_a", "s_b")))
     return both.where(F.col("common") * down >= (F.col("n_a") + F.col("n_b") - F.col("common")) * up).select("a", "b", "common", "n_a", "n_b")
 
 
+#: Words of 64 bits of the filter by which sets in no pair are left where they are: 512 KB, whatever the data's size.
+FILTER = 1 << 16
+
+
+def _among(sets: DataFrame, reps: DataFrame) -> DataFrame:
+    """The sets whose ``rep`` may be among ``reps``: all that are, and few others; narrow."""
+    h = F.xxhash64("rep")
+    bits = reps.select(F.pmod(F.shiftright(h, 6), F.lit(FILTER)).cast("int").alias("word"), F.expr("shiftleft(1L, cast(pmod(xxhash64(rep), 64) AS int))").alias("bit"))
+    rows = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most FILTER rows
+    table = np.zeros(FILTER, np.int64)
+    table[rows["word"].to_numpy()] = rows["bits"].to_numpy()
+    shared = sets.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = np.asarray(batch.column("h"))
+            kept = (shared.value[(h >> 6) % FILTER] >> (h % 64)) & 1 == 1
+            yield batch.filter(pa.array(kept)).select(["rep", "n", "shingles"])
+
+    return sets.withColumn("h", h).mapInArrow(run, "rep bigint, n int, shingles array<bigint>")
+
+
 def expand(pairs: DataFrame, members: DataFrame) -> DataFrame:
     """All pairs (id_a, id_b) of records: of similar classes, and within a class."""
     x, y = members.select(F.col("rep").alias("a"), F.col("id").alias("x")), members.select(F.col("rep").alias("b"), F.col("id").alias("y"))

@@ -97,9 +97,10 @@ NEAR, RUN, LEAST_WORDS = Fraction(3, 5), 3, 20
 
 def _paper_sets(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     works = table(spark, d, "works").select(work_key(F.col("id")).alias("key"), "display_name").groupBy("key").agg(F.max("display_name").alias("name"))
-    papers = table(spark, d, "papers").select("paper_id", work_key(F.col("work_id")).alias("key"), near_duplicates.words(F.col("abstract")).alias("own"))
-    papers = papers.where(F.size("own") >= LEAST_WORDS)
-    named = papers.join(works, "key", "left").select(F.col("paper_id").alias("id"), F.concat(F.coalesce(near_duplicates.words(F.col("name")), F.array()), "own").alias("row"))
+    papers = table(spark, d, "papers").select("paper_id", work_key(F.col("work_id")).alias("key"), "abstract")
+    papers = papers.where(F.size(near_duplicates.words(F.col("abstract"))) >= LEAST_WORDS)  # texts are shuffled, not their words: they take less
+    row = F.concat(F.coalesce(near_duplicates.words(F.col("name")), F.array()), near_duplicates.words(F.col("abstract")))
+    named = papers.join(works, "key", "left").select(F.col("paper_id").alias("id"), row.alias("row"))
     members, sets = near_duplicates.classes(named.select("id", near_duplicates.shingles(F.col("row"), RUN).alias("shingles")))
     return members, sets, near_duplicates.similar_pairs(sets, NEAR)
 
