@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.ids import WORK_PATTERN, work_key
 from ..runtime import settle
 from ..sources.tables import table
-from . import encode, language, linkage, mixture, near_duplicates, stable_sample
+from . import encode, language, linkage, mixture, near_duplicates, sentences, stable_sample
 
 
 def _wkey(c: str) -> str:
@@ -148,5 +148,13 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.report(*_mixed(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_links, p3_sample, p6_found, p6_languages, p7_found, p7_groups, p8_ids, p9_mix, p9_shares)}
+# ---------------------------------------------------------------- sentences
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """The end of every sentence of every document."""
+    return sentences.sentence_ends(table(spark, d, "documents"), "text", ["doc_id"])
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_links, p3_sample, p6_found, p6_languages, p7_found, p7_groups, p8_ids, p9_mix, p9_shares, p10_found)}
 SQL = {"p3_sample": P3_SAMPLE}
