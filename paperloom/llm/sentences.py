@@ -157,6 +157,7 @@ _STOP = regex.compile(
 )
 _MAYBE = regex.compile(rf"(?<![\p{{L}}\p{{N}}\p{{M}}.])(?:{'|'.join(map(regex.escape, MAYBE))})\.")
 _JOINED = regex.compile(r"(?<=[\p{Ll}\p{N}%)\]])\.(?=\p{Lu}(?:\p{Ll}|\s))")  # a sentence begins without a space
+_MIXED = regex.compile(r"(?<=[.!?][\"”'»)\]]?\s+)\p{Ll}(?=\p{Lu})")  # a sentence that begins with a word like mRNA
 _DOTS = regex.compile(r"\.(?:\s?\.){2,}|…+")
 _REFERENCE = regex.compile(r"(?<=[.!?。！？][\"”’»)]{0,2})(?:\[\d+(?:\s?[,–-]\s?\d+)*\]|[⁰¹²³⁴-⁹]+)")
 _STRAIGHT = regex.compile(r"[\"'“’‘]")
@@ -176,6 +177,8 @@ def classes(text: str) -> np.ndarray:
             out[found.start()] = C["FULL"]
         for found in _STOP.finditer(text):
             out[[i for i in range(found.start(), found.end()) if text[i] == "."]] = C["DOTX"]
+        for found in _MIXED.finditer(text):
+            out[found.start()] = C["UP"]
     if "฀" <= max(text) and _THAI.search(text):
         for found in _THAI.finditer(text):
             out[found.start()] = C["TSP"]
