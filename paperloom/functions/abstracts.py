@@ -1,40 +1,43 @@
-"""Abstracts from inverted indexes ``{word: [positions]}`` kept as JSON text; built-in functions only.
+"""Abstracts from inverted indexes ``{word: [positions]}`` kept as JSON text.
 
-The text is null unless it is a JSON object, every value is a list of whole numbers from 0 up, and the positions from 0 to
-the greatest are all taken. Where words share a position the later one counts. ``true`` and ``false`` are 1 and 0.
+Written as column expressions this takes some twenty times as long as a JSON parser and a table of places (0.55 ms against
+0.03 ms an abstract), so it is part of the Arrow stage that cleans texts.
+
+An abstract is null unless the text is a JSON object, every value is a list of whole numbers from 0 up, and the positions
+from 0 to the greatest are all taken. Where words share a position the later one counts; ``true`` and ``false`` are 1 and
+0. A text that is no JSON object is malformed; null isn't.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-
-def is_object(text: Column) -> Column:
-    """True where the text is JSON and an object; false for null."""
-    kind = F.schema_of_variant(F.try_parse_json(text))
-    return F.coalesce(kind.startswith("OBJECT"), F.lit(False))
-
-
-def let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once however often the body names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def _place(p: Column) -> Column:
-    return F.when(p.rlike("^(0|[1-9][0-9]{0,8})$"), p.cast("int")).when(p == "true", F.lit(1)).when(p == "false", F.lit(0))
-
-
-def _joined(entries: Column) -> Column:
-    sound = F.forall(entries, lambda e: e["value"].isNotNull() & F.forall(e["value"], lambda p: F.coalesce(_place(p).isNotNull(), F.lit(False))))
-    spread = F.flatten(F.transform(entries, lambda e, i: F.transform(e["value"], lambda p: F.struct(_place(p).alias("p"), (-i).alias("o"), e["key"].alias("w")))))
-    # Sorted by place, the later word first; each is set beside the one before, and words on the same place are dropped.
-    paired = let(F.array_sort(spread), lambda xs: F.zip_with(xs, F.concat(F.array(F.lit(None)), xs), lambda x, before: F.struct(x.alias("x"), (before.isNull() | (before["p"] != x["p"])).alias("new"))))
-    kept = F.transform(F.filter(paired, lambda y: y["x"].isNotNull() & y["new"]), lambda y: y["x"])
-    text = let(kept, lambda xs: F.when((F.size(xs) > 0) & (F.size(xs) == F.element_at(xs, -1)["p"] + 1), F.array_join(F.transform(xs, lambda x: x["w"]), " ")))
-    return F.when(sound, text)
-
-
-def reconstruct(text: Column) -> Column:
-    """The abstract of an inverted index; linear in its length but for one sort."""
-    return let(F.map_entries(F.from_json(text, "map<string, array<string>>")), _joined)
+import json
+
+import pyarrow as pa
+
+
+def reconstruct(text: str | None) -> tuple[str | None, bool]:
+    """The abstract, and whether the text is malformed."""
+    if text is None:
+        return None, False
+    try:
+        index = json.loads(text)
+    except (ValueError, RecursionError):
+        return None, True
+    if not isinstance(index, dict):
+        return None, True
+    words: dict[int, str] = {}
+    for word, places in index.items():
+        if not isinstance(places, list):
+            return None, False
+        for place in places:
+            if not isinstance(place, int) or place < 0:
+                return None, False
+            words[place] = word
+    if not words or max(words) != len(words) - 1:
+        return None, False
+    return " ".join(words[i] for i in range(len(words))).encode("utf-8", "replace").decode(), False
+
+
+def reconstruct_batch(texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+    made = [reconstruct(x) for x in texts.to_pylist()]
+    return pa.array([a for a, _ in made], pa.string()), pa.array([b for _, b in made], pa.bool_())

@@ -16,6 +16,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import spread
+from .abstracts import reconstruct_batch
+
 #: Marks of a LaTeX source, and how much mark-up an abstract may hold.
 LATEX_MARKS = ("\\documentclass", "\\begin{document}", "\\end{document}", "\\usepackage", "\\newtheorem", "\\pagestyle", "\\fancyhead", "\\fancyfoot")
 MOST_BREAKS, MOST_TAGS, MOST_COMMANDS = 5, 5, 12
@@ -46,25 +49,29 @@ def without_markup(texts: pa.Array) -> pa.Array:
     return pc.replace_substring_regex(pc.replace_substring_regex(bare, _SPACES, " "), "^ | $", "")
 
 
-def clean_columns(df: DataFrame, columns: list[str], decoded: list[str] | None = None) -> DataFrame:
+def clean_columns(df: DataFrame, columns: list[str], decoded: list[str] | None = None, inverted: list[str] | None = None) -> DataFrame:
     """``df`` with the columns cleaned, and NAME_decoded for those of ``decoded``: cleaned, decoded again, lower case.
 
+    Columns of ``inverted`` hold inverted indexes, are made into abstracts first, and get NAME_malformed.
+
     One narrow stage in Arrow's kernels; it also keeps what made the columns from being computed more than once.
     """
-    again = decoded or []
+    again, indexes = decoded or [], inverted or []
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
-    schema = ", ".join([f"`{c}` {k}" for c, k in kinds.items()] + [f"`{c}_decoded` string" for c in again])
+    schema = ", ".join([f"`{c}` {k}" for c, k in kinds.items()] + [f"`{c}_malformed` boolean" for c in indexes] + [f"`{c}_decoded` string" for c in again])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = {c: batch.column(c) for c in kinds}
+            for c in indexes:
+                out[c], out[f"{c}_malformed"] = reconstruct_batch(out[c])
             for c in columns:
                 out[c] = without_markup(unescape(out[c]))
             for c in again:
                 out[f"{c}_decoded"] = pc.utf8_lower(unescape(out[c]))
             yield pa.RecordBatch.from_pydict(out)
 
-    return df.mapInArrow(run, schema)
+    return spread(df).mapInArrow(run, schema)
 
 
 def has_visible(text: Column) -> Column:

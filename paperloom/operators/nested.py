@@ -22,6 +22,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import spread
+
 _STRUCTURAL = np.zeros(256, bool)
 _STRUCTURAL[[*b"{}[],:"]] = True
 _BLANK = np.zeros(256, bool)
@@ -248,4 +250,4 @@ def flatten_json(df: DataFrame, json_col: str, keep: list[str], specs: dict[str,
         for batch in batches:
             yield from flatten_batch(batch, json_col, keep, specs).to_batches()
 
-    return df.select(*keep, F.col(json_col)).mapInArrow(run, schema)
+    return spread(df.select(*keep, F.col(json_col))).mapInArrow(run, schema)

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.abstracts import is_object, reconstruct
 from ..functions.text import clean_columns, has_visible, looks_clean, looks_english
 
 #: Output fields and the columns that each is made from.
@@ -41,10 +40,11 @@ def first_venue() -> Column:
 
 def parse_papers(works: DataFrame, fields: list[str], required: list[str], *, english: bool = False, clean: bool = False, keep: tuple[str, ...] = ("id",)) -> DataFrame:
     """``keep``, the fields, and ``skip_reasons``; a work is accepted where that is empty."""
-    raw = {"title": F.col("display_name"), "abstract": reconstruct(F.col("abstract_inverted_index")), "publication_date": F.col("publication_date").cast("string"), "publication_venue": first_venue()}
-    given = F.col("abstract_inverted_index").isNotNull() & ~is_object(F.col("abstract_inverted_index"))
-    made = works.select(*keep, *(raw[f].alias(f) for f in fields), (given if "abstract" in fields else F.lit(False)).alias("broken"))
-    parts = clean_columns(made, [f for f in fields if f != "publication_date"], ["abstract"] if clean and "abstract" in fields else [])
+    raw = {"title": F.col("display_name"), "abstract": F.col("abstract_inverted_index"), "publication_date": F.col("publication_date").cast("string"), "publication_venue": first_venue()}
+    made = works.select(*keep, *(raw[f].alias(f) for f in fields))
+    given = ["abstract"] if "abstract" in fields else []
+    parts = clean_columns(made, [f for f in fields if f != "publication_date"], given if clean else [], given)
+    broken = F.col("abstract_malformed") if given else F.lit(False)
     filled = {f: F.when(F.col(f) != "", F.col(f)).alias(f) for f in fields}
     reasons = [F.when(F.coalesce(F.col(f), F.lit("")) == "", F.lit(f"missing_{f}")) for f in COLUMNS if f in fields and f in required]
     if english:
@@ -52,7 +52,7 @@ def parse_papers(works: DataFrame, fields: list[str], required: list[str], *, en
     if clean and "abstract" in fields:
         reasons.append(F.when((F.col("abstract") != "") & ~looks_clean(F.col("abstract"), F.col("abstract_decoded")), F.lit("unclean_abstract")))
     found = F.array_compact(F.array(*reasons)) if reasons else F.array().cast("array<string>")
-    return parts.select(*keep, *filled.values(), F.when(F.col("broken"), F.array(F.lit(MALFORMED))).otherwise(found).alias("skip_reasons"))
+    return parts.select(*keep, *filled.values(), F.when(broken, F.array(F.lit(MALFORMED))).otherwise(found).alias("skip_reasons"))
 
 
 def skip_histogram(parsed: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:

@@ -50,7 +50,7 @@ def resolve(articles: DataFrame, works: DataFrame, pairs: DataFrame, least: floa
     """
     left = articles.select("article_id", F.col("title").alias("wanted"), F.col("journal"), "year").withColumn("j", normal_title_udf("journal"))
     right = works.select("id", F.col("title").alias("found"), "venue", "published", "cited").withColumn("v", normal_title_udf("venue"))
-    joined = pairs.join(left, "article_id").join(right, "id")
+    joined = pairs.join(left, "article_id").join(right, "id").repartition(pairs.sparkSession.sparkContext.defaultParallelism * 4)  # pairs are small rows of much work
     scored = joined.withColumn("score", candidate_score(F.col("wanted"), F.col("found"), F.coalesce((F.col("j") == F.col("v")) & (F.col("v") != ""), F.lit(False)), F.col("year"), F.col("published")))
     rank = F.struct("score", F.coalesce("cited", F.lit(-1)), (-F.xxhash64("id")).alias("tie"))
     best = scored.groupBy("article_id").agg(F.max("score").alias("score"), F.max_by("id", rank).alias("work"), F.count(F.lit(1)).alias("n"))

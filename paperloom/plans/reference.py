@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import names, text
-from ..functions.abstracts import is_object, reconstruct
 from ..functions.ids import last_segment, segment_after_slash, topic_key, work_key
 from ..operators import papers, references, resolution, sampling, topics
 from ..sources.tables import table
@@ -93,8 +92,8 @@ def titles(spark: SparkSession, d: str) -> DataFrame:
 
 def abstracts(spark: SparkSession, d: str) -> DataFrame:
     """Abstracts from their inverted indexes; malformed where the text is no JSON object."""
-    given = works(spark, d).where(F.col("abstract_inverted_index").isNotNull())
-    return given.select("id", _DAY().alias("delivered"), F.md5(reconstruct(F.col("abstract_inverted_index"))).alias("digest"), (~is_object(F.col("abstract_inverted_index"))).alias("malformed"))
+    given = works(spark, d).where(F.col("abstract_inverted_index").isNotNull()).select("id", _DAY().alias("delivered"), F.col("abstract_inverted_index").alias("abstract"))
+    return text.clean_columns(given, [], [], ["abstract"]).select("id", "delivered", F.md5("abstract").alias("digest"), F.col("abstract_malformed").alias("malformed"))
 
 
 def clean_abstracts(spark: SparkSession, d: str) -> DataFrame:

@@ -48,6 +48,17 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan of few row groups over all cores, for a stage that works harder than it reads.
+
+    Only where a scan has fewer partitions than there are cores, thus of small tables; larger ones aren't shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if "Exchange" in scan._jdf.queryExecution().executedPlan().toString():  # no mere scan; and to ask for its partitions would run it
+        return scan
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def settle(df: DataFrame, name: str = "table", by: list[str] | None = None) -> DataFrame:
     """Cut the lineage of ``df`` by writing it to the shared folder and reading it back.
 
