@@ -24,6 +24,8 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame
 
+from ..runtime import spread
+
 #: Where the vocabulary files lie unless told otherwise.
 TOKENIZERS = os.environ.get("PAPERLOOM_TOKENIZERS", "/opt/tokenizers")
 #: Fixed value: how the tokenizer splits a text before merging.
@@ -119,7 +121,7 @@ def encode_texts(df: DataFrame, text: str, out: str = "ids", path: str | None =
             ids = pa.array([bpe.encode(x) for x in batch.column(text).to_pylist()], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), ids], [*keep, out])
 
-    return df.select(*keep, text).mapInArrow(run, schema)
+    return spread(df.select(*keep, text)).mapInArrow(run, schema)
 
 
 def count_tokens(df: DataFrame, text: str, out: str = "n_tokens", path: str | None = None) -> DataFrame:
@@ -135,4 +137,4 @@ def count_tokens(df: DataFrame, text: str, out: str = "n_tokens", path: str | No
             sizes = pa.array([len(bpe.encode(x)) for x in texts], pa.int64())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), sizes], [*keep, out])
 
-    return df.select(*keep, text).mapInArrow(run, schema)
+    return spread(df.select(*keep, text)).mapInArrow(run, schema)

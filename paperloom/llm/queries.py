@@ -123,6 +123,16 @@ def p7_groups(spark: SparkSession, d: str) -> DataFrame:
     return every.select(F.col("id").alias("paper_id"), F.coalesce("group", rep).alias("group_id"), rep.alias("class_id"), F.coalesce("links", F.lit(0)).alias("n_links"))
 
 
+P7_FOUND = f"""
+WITH w AS (SELECT {_wkey('id')} AS key, max(display_name) AS name FROM works GROUP BY 1),
+p AS (SELECT paper_id, {_wkey('work_id')} AS key, regexp_extract_all(lower(abstract), '[\\pL\\pN]+') AS own FROM papers),
+r AS (SELECT paper_id, list_concat(coalesce(regexp_extract_all(lower(name), '[\\pL\\pN]+'), []), own) AS ws FROM p LEFT JOIN w USING (key) WHERE len(own) >= 20),
+i AS (SELECT paper_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM r),
+s AS (SELECT DISTINCT paper_id, ws[i] AS a, ws[i + 1] AS b, ws[i + 2] AS c FROM i),
+n AS (SELECT paper_id, count(*) AS n FROM s GROUP BY 1),
+j AS (SELECT x.paper_id AS paper_a, y.paper_id AS paper_b, count(*) AS k FROM s x JOIN s y ON x.a = y.a AND x.b = y.b AND x.c = y.c AND x.paper_id < y.paper_id GROUP BY 1, 2)
+SELECT paper_a, paper_b FROM j JOIN n na ON na.paper_id = paper_a JOIN n nb ON nb.paper_id = paper_b WHERE 5 * k >= 3 * (na.n + nb.n - k)"""
+
 # ---------------------------------------------------------------- token ids
 
 
@@ -157,4 +167,4 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_links, p3_sample, p6_found, p6_languages, p7_found, p7_groups, p8_ids, p9_mix, p9_shares, p10_found)}
-SQL = {"p3_sample": P3_SAMPLE}
+SQL = {"p3_sample": P3_SAMPLE, "p7_found": P7_FOUND}

@@ -23,6 +23,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from ..runtime import spread
+
 #: Code points per chunk.
 CHUNK = 4096
 
@@ -346,4 +348,4 @@ def sentence_ends(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
                 rows = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]), pa.int64())
                 yield pa.RecordBatch.from_arrays([*(part.column(c).take(rows) for c in keep), pa.array([x for f in found for x in f], pa.int32())], [*keep, "end_pos"])
 
-    return df.select(*keep, text).mapInArrow(run, schema)
+    return spread(df.select(*keep, text)).mapInArrow(run, schema)
