@@ -7,7 +7,7 @@ is decided by neighbours: a row of tokens is an encoding exactly if each two nei
 proves the whole.
 
 Defined results: null and empty texts give the empty list; names of special tokens in a text are ordinary text; repeated
-texts are encoded alike; extra columns are untouched.
+texts are encoded alike; extra columns are untouched, but for one with the name of the result, which is replaced.
 """
 
 from __future__ import annotations
@@ -112,7 +112,7 @@ def vocabulary(name: str = "byte_bpe_50k", folder: str | None = None) -> str:
 def encode_texts(df: DataFrame, text: str, out: str = "ids", path: str | None = None) -> DataFrame:
     """``df`` with the token ids of ``text`` in its place. Narrow: no shuffle, batches through Arrow."""
     path = path or vocabulary()
-    keep = [c for c in df.columns if c != text]
+    keep = [c for c in df.columns if c not in (text, out)]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema] + [f"`{out}` array<int>"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +127,7 @@ def encode_texts(df: DataFrame, text: str, out: str = "ids", path: str | None =
 def count_tokens(df: DataFrame, text: str, out: str = "n_tokens", path: str | None = None) -> DataFrame:
     """``df`` with the number of tokens of ``text`` in its place; 0 for null and empty texts."""
     path = path or vocabulary()
-    keep = [c for c in df.columns if c != text]
+    keep = [c for c in df.columns if c not in (text, out)]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema] + [f"`{out}` bigint"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

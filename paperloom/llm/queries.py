@@ -68,8 +68,9 @@ def _identified(spark: SparkSession, d: str) -> DataFrame:
     papers = table(spark, d, "papers").select("paper_id", work_key(F.col("work_id")).alias("key"), "abstract")
     works = table(spark, d, "works").select(work_key(F.col("id")).alias("key"), "language")
     # A bounded sample of labelled papers, the same in every run; all papers are then classified.
-    some = papers.where(F.col("abstract").isNotNull()).orderBy(F.xxhash64("paper_id"), "paper_id").limit(language.ADAPT_TEXTS)
-    named = works.join(F.broadcast(some), "key").groupBy("paper_id").agg(F.first(language.label_code(F.col("language"))).alias("code"), F.first(F.substring("abstract", 1, 5 * language.SAMPLE_CHARS)).alias("text"))
+    some = papers.where(F.col("abstract").isNotNull()).select("paper_id", "key", F.substring("abstract", 1, 5 * language.SAMPLE_CHARS).alias("text"))
+    some = some.orderBy(F.xxhash64("paper_id"), "paper_id").limit(language.ADAPT_TEXTS)  # bounded in rows and in each row
+    named = works.join(F.broadcast(some), "key").groupBy("paper_id").agg(F.max(language.label_code(F.col("language"))).alias("code"), F.max("text").alias("text"))
     labelled = [(r.code, r.text) for r in named.where(F.col("code").isNotNull()).orderBy(F.xxhash64("paper_id"), "paper_id").collect()]  # at most ADAPT_TEXTS
     model = language.adapt(language.fit(samples), samples, labelled)
     found = language.identify(papers, "abstract", ["paper_id", "key"], model)

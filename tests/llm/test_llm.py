@@ -33,6 +33,8 @@ def test_encode_column(spark, small_bpe):
     assert [r.ids for r in got[:2]] == [[], []] and 50256 not in got[2].ids and got[3].ids == got[4].ids == small_bpe.encode("x" * 9000)
     assert [r.n_tokens for r in encode.count_tokens(spark.createDataFrame(rows, "doc_id int, text string, n int"), "text").collect()] == [len(r.ids) for r in got]
     assert encode.encode_texts(spark.createDataFrame([], "doc_id int, text string"), "text").count() == 0
+    clash = spark.createDataFrame([(1, "hi", "old")], "doc_id int, text string, ids string")
+    assert encode.encode_texts(clash, "text").first().ids == small_bpe.encode("hi")
 
 
 # ---------------------------------------------------------------- stable samples
