@@ -149,23 +149,64 @@ _TABLE: list[np.ndarray] = []
 
 _BLANK = regex.compile(r"(?:\r\n|[\n\r\x85\x0b\x0c ])[^\S\n\r]*(?=[\n\r\x85 ])| |\x0c")
 _LINE = regex.compile(r"(?m)^[^\S\n\r]*(?P<mark>[•◦▪‣·]|[-*–—+](?=\s)|(?P<num>\d{1,3})(?:[.)]|\)\.)(?=\s)|[a-zA-Z]\)(?=\s)|\((?:\d{1,3}|[a-z])\)(?=\s))")
-_WORDS = "|".join(sorted(map(regex.escape, NEVER), key=len, reverse=True))
-_STOP = regex.compile(
-    rf"(?<![\p{{L}}\p{{N}}\p{{M}}.])(?:{_WORDS})\."
-    rf"|(?<![\p{{L}}\p{{N}}\p{{M}}])(?:{'|'.join(NUMBERING)})\.(?=\s*\d)"
-    r"|(?<![\p{L}\p{N}\p{M}.])(?:(?!U\.[SK]\.|a\.m\.|p\.m\.)\p{L}\.(?:[\s-]?\p{L}(?=\.))?)+(?=[\s-])"  # initials, e.g., z. B.
-    r"|(?<=\b(?:[Ii]m|[Aa]m|[Dd](?:er|ie|as|en|em|es)|[Vv]om|[Zz]um|[Bb]eim|[Ss]eit|[Bb]is|[Aa]b) )\d{1,2}\.(?=\s)"
-    r"|c\.-à-d\.|(?<!\d)\d{4}\. ?\d{1,2}\. ?\d{1,2}\.|(?<=\.)\p{L}{1,4}\.(?=\s\p{Ll})"
-)
-_MAYBE = regex.compile(rf"(?<![\p{{L}}\p{{N}}\p{{M}}.])(?:{'|'.join(map(regex.escape, MAYBE))})\.")
+_NEVER, _MAYBE, _NUMBERING = frozenset(NEVER), frozenset(MAYBE), frozenset(NUMBERING)
+#: German words before an ordinal.
+_ORDINAL = frozenset("im am der die das den dem des vom zum beim seit bis ab".split())
+_DATE = regex.compile(r"(?<!\d)\d{4}\. ?\d{1,2}\. ?\d{1,2}\.")
+_MARK = regex.compile(r"[.!?]")
 _JOINED = regex.compile(r"(?<=[\p{Ll}\p{N}%)\]])\.(?=\p{Lu}(?:\p{Ll}|\s))")  # a sentence begins without a space
-_MIXED = regex.compile(r"(?<=[.!?][\"”'»)\]]?\s+)\p{Ll}(?=\p{Lu})")  # a sentence that begins with a word like mRNA
 _DOTS = regex.compile(r"\.(?:\s?\.){2,}|…+")
 _REFERENCE = regex.compile(r"(?<=[.!?。！？][\"”’»)]{0,2})(?:\[\d+(?:\s?[,–-]\s?\d+)*\]|[⁰¹²³⁴-⁹]+)")
 _STRAIGHT = regex.compile(r"[\"'“’‘]")
 _THAI = regex.compile(r"(?<=[ก-๛])[^\S\n\r]+(?=[ก-๛“\"])")
 
 
+def _stops(text: str, out: np.ndarray) -> None:
+    """Which full stops end no sentence, or only before a capital; and words like mRNA that begin one."""
+    n = len(text)
+    for found in _MARK.finditer(text):
+        i = found.start()
+        after = i + 1
+        while after < n and text[after] in "\"”'»)]":
+            after += 1
+        spaced = after < n and text[after].isspace()
+        while after < n and text[after].isspace():
+            after += 1
+        if spaced and after + 1 < n and text[after].islower() and text[after + 1].isupper():
+            out[after] = C["UP"]
+        if text[i] != ".":
+            continue
+        start = i
+        while start and (text[start - 1].isalpha() or "\u0900" <= text[start - 1] <= "\u0e7f"):
+            start -= 1
+        word, before = text[start:i], text[start - 1] if start else " "
+        if not word:
+            if before.isdigit() and i + 1 < n and text[i + 1].isspace():
+                while start and text[start - 1].isdigit():
+                    start -= 1
+                if i - start <= 2 and text[:start].endswith(" ") and text[max(0, start - 8) : start].split()[-1:] and text[max(0, start - 8) : start].split()[-1].lower() in _ORDINAL:
+                    out[i] = C["DOTX"]
+            continue
+        if before == ".":
+            far = start
+            while far and (text[far - 1].isalpha() or text[far - 1] == "."):
+                far -= 1
+            if text[far:i] in _MAYBE:
+                out[i] = C["DOTM"]
+            elif len(word) == 1:
+                out[i] = C["DOTX"]
+        elif before.isdigit():
+            continue
+        elif word in _NUMBERING and after < n and text[after].isdigit():
+            out[i] = C["DOTX"]
+        elif word in _NEVER:
+            out[i] = C["DOTX"]
+        elif word in _MAYBE:
+            out[i] = C["DOTM"]
+        elif len(word) == 1 and i + 1 < n and (text[i + 1].isspace() or text[i + 1] == "-"):
+            out[i] = C["DOTX"]
+
+
 def classes(text: str) -> np.ndarray:
     """The class of every code point of a text."""
     if not _TABLE:
@@ -173,14 +214,16 @@ def classes(text: str) -> np.ndarray:
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     out = _TABLE[0][codes]
     if "." in text:
-        for found in _MAYBE.finditer(text):
-            out[found.end() - 1] = C["DOTM"]
         for found in _JOINED.finditer(text):
             out[found.start()] = C["FULL"]
-        for found in _STOP.finditer(text):
+    _stops(text, out)
+    if "." in text:
+        for found in _DATE.finditer(text):
             out[[i for i in range(found.start(), found.end()) if text[i] == "."]] = C["DOTX"]
-        for found in _MIXED.finditer(text):
-            out[found.start()] = C["UP"]
+        at = text.find("c.-à-d.")
+        while at >= 0:
+            out[at + 1] = out[at + 6] = C["DOTX"]
+            at = text.find("c.-à-d.", at + 7)
     if "฀" <= max(text) and _THAI.search(text):
         for found in _THAI.finditer(text):
             out[found.start()] = C["TSP"]
@@ -315,25 +358,26 @@ def ends(texts: list[str | None], chunk: int = CHUNK) -> list[list[int]]:
     return [_closed(t, k, sorted(f)) if t else [] for t, k, f in zip(texts, kinds, found, strict=True)]
 
 
-_SPACE = (C["SP"], C["PB"], C["TSP"])
-_SPOKEN = [C[x] for x in ("UP", "LOW", "CL", "HAN", "TO", "TH", "DIG")]
+def _marked(*names: str) -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[[C[x] for x in names]] = True
+    return table
+
+
+_SPACE, _LETTER = _marked("SP", "PB", "TSP"), _marked("UP", "LOW", "CL", "HAN", "TO", "TH")
+_SPOKEN = _LETTER | _marked("DIG")
 
 
 def _closed(text: str, kinds: np.ndarray, begins: list[int]) -> list[int]:
     """Ends of the stretches before each begin, white space off, of those that hold letters or digits."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    visible = np.flatnonzero(~np.isin(kinds, _SPACE) & (codes != 0x200B) & (codes != 0xFEFF))
-    letters = np.flatnonzero(np.isin(kinds, _SPOKEN[:-1]))
-    spoken = np.flatnonzero(np.isin(kinds, _SPOKEN))
-    if not len(letters):
+    if not _LETTER[kinds].any():
         return []
-    out, last = [], 0
-    for b in [*begins, len(kinds)]:
-        k = int(np.searchsorted(visible, b))
-        if k and visible[k - 1] >= last and np.searchsorted(spoken, b) > np.searchsorted(spoken, last):
-            out.append(int(visible[k - 1]) + 1)
-            last = b
-    return out
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    visible = np.flatnonzero(~_SPACE[kinds] & (codes != 0x200B) & (codes != 0xFEFF))
+    at = np.array([*begins, len(kinds)])
+    spoken = np.concatenate([[0], np.cumsum(_SPOKEN[kinds])])[at]
+    held = np.diff(spoken, prepend=0) > 0
+    return (visible[np.searchsorted(visible, at[held]) - 1] + 1).tolist()
 
 
 def sentence_ends(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
