@@ -44,7 +44,9 @@ def _ranked(spark: SparkSession, d: str) -> DataFrame:
     seed = F.coalesce(F.col("sample_seed"), F.lit(SEED))
     keyed = _matched(spark, d).withColumn("sample_key", sampling.hash_key(F.col("id"), seed))
     w = Window.partitionBy("config_id").orderBy("sample_key", "id", "updated_date")
-    return keyed.withColumn("sample_rank", F.row_number().over(w)).where(F.col("sample_rank") <= sampling.OVERSAMPLE * F.col("c_count"))
+    most = table(spark, d, "fetch_configs").agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]  # known to the plan, it limits ranks before the shuffle
+    rank = F.col("sample_rank")
+    return keyed.withColumn("sample_rank", F.row_number().over(w)).where((rank <= sampling.OVERSAMPLE * most) & (rank <= sampling.OVERSAMPLE * F.col("c_count")))
 
 
 def config_candidates(spark: SparkSession, d: str) -> DataFrame:
