@@ -29,9 +29,9 @@ def water_fill(sizes: dict[str, int], shares: dict[str, float], limits: dict[str
     left = float(budget)
     while open_:
         total = sum(shares[s] for s in open_)
-        full = {s for s in open_ if left * shares[s] / total >= capacity[s]}
+        full = {s for s in open_ if left * (shares[s] / total) >= capacity[s]}
         if not full:
-            given |= {s: left * shares[s] / total for s in open_}
+            given |= {s: left * (shares[s] / total) for s in open_}
             break
         given |= {s: float(capacity[s]) for s in full}
         left -= sum(capacity[s] for s in full)

@@ -56,7 +56,7 @@ def test_stable_sample(spark):
 
 
 @settings(max_examples=100, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 1000), st.floats(0, 1), st.integers(0, 5)), min_size=1, max_size=8), st.floats(0, 5000))
+@given(st.lists(st.tuples(st.integers(0, 1000), st.one_of(st.just(0.0), st.floats(1e-9, 1)), st.integers(0, 5)), min_size=1, max_size=8), st.floats(0, 5000))
 def test_water_fill(sources, budget):
     sizes, shares, limits = ({str(i): s[k] for i, s in enumerate(sources)} for k in range(3))
     got = mixture.water_fill(sizes, shares, limits, budget)
