@@ -1,7 +1,9 @@
 """The work of a scraped article among candidates: weighted score, best with tie-breaks, reasons where there is none.
 
-Candidates come from equal venues (normal form) or a shared rare title word; scores only are Python, over Arrow, on pairs
-of distinct candidates. The best is an aggregate (``max_by``), not a sort of a group.
+Candidates share a rare title word, or have equal venues (normal form) and titles whose likeness may suffice. Without the
+venue a score stays below the limit, so no work that reaches it is missed: lengths, counts of letters and the longest
+common subsequence bound the likeness from above. Scores only are Python, over Arrow, on pairs of distinct candidates. The
+best is an aggregate (``max_by``), not a sort of a group.
 
 Defined results: an article without a title after cleaning is unresolved as such; one without candidates likewise; a score
 below the limit is a low-confidence match; ties go to the more cited, then to the lesser id; repeated candidates count
@@ -10,13 +12,17 @@ once; null years and venues add nothing.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.names import LEAST_CONFIDENCE, TITLE_WEIGHT, VENUE_WEIGHT, YEAR_WEIGHT, normal_title_udf, title_score_udf
+from ..functions.names import BAG, LEAST_CONFIDENCE, TITLE_WEIGHT, VENUE_WEIGHT, YEAR_WEIGHT, bag_udf, common_udf, main_title_udf, normal_title_udf, title_score_udf
 
 #: Words in more than this part of all titles lead to no candidate by themselves.
 COMMON_WORD = 0.001
+#: Works of one venue that a task meets at a time.
+SALTED = 1000
 
 
 def candidate_score(wanted: Column, found: Column, same_venue: Column, year: Column, published: Column) -> Column:
@@ -27,11 +33,11 @@ def candidate_score(wanted: Column, found: Column, same_venue: Column, year: Col
     return F.when(found.isNull(), F.lit(0.0)).otherwise(F.least(F.lit(1.0), title + venue + dated))
 
 
-def candidates(articles: DataFrame, works: DataFrame) -> DataFrame:
-    """(article_id, id) pairs that share a rare title word; an equi join on words, hot words left out by their share.
+def candidates(articles: DataFrame, works: DataFrame, least: float = LEAST_CONFIDENCE) -> DataFrame:
+    """(article_id, id) pairs that share a rare title word or may reach the least confidence.
 
-    ``articles``: article_id, title; ``works``: id, title. A title all of whose words are common is compared by its whole
-    normal form instead.
+    ``articles``: article_id, title, journal, year; ``works``: id, title, venue, published. A title all of whose words are
+    common is also compared by its whole normal form.
     """
     split = lambda c: F.array_distinct(F.split(normal_title_udf(c), " "))
     left = articles.select("article_id", split(F.col("title")).alias("ws")).select("article_id", F.explode("ws").alias("word"))
@@ -40,7 +46,34 @@ def candidates(articles: DataFrame, works: DataFrame) -> DataFrame:
     rare = right.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= F.greatest(limit, F.lit(20.0))).select("word")
     by_word = left.join(rare, "word").join(right, "word").select("article_id", "id")
     whole = articles.select("article_id", normal_title_udf("title").alias("whole")).join(works.select("id", normal_title_udf("title").alias("whole")), "whole").where(F.col("whole") != "")
-    return by_word.unionByName(whole.select("article_id", "id")).distinct()
+    return by_word.unionByName(whole.select("article_id", "id")).unionByName(of_venue(articles, works, least)).distinct()
+
+
+def of_venue(articles: DataFrame, works: DataFrame, least: float = LEAST_CONFIDENCE) -> DataFrame:
+    """(article_id, id) of all pairs that reach ``least``, and of some that don't: an equi join on venues, hot ones salted."""
+    if least <= TITLE_WEIGHT + YEAR_WEIGHT:
+        raise ValueError("below this, works of other venues could match")
+    bags = [f"b{i}" for i in range(BAG)]
+    tasks = articles.sparkSession.sparkContext.defaultParallelism * 4
+    named = lambda df, c: df.withColumn("v", normal_title_udf(c)).where(F.col("v") != "")
+    titled = lambda df, c: df.withColumn("t", normal_title_udf(c)).where(F.col("t") != "").withColumn("bag", bag_udf("t"))
+    right = named(titled(works.select("id", "title", "venue", F.substring("published", 1, 4).alias("dated")), "title"), "venue")
+    right = right.select("id", "v", "dated", F.col("t").alias("found"), F.length("t").alias("m"), F.col("bag.rest").alias("rest_r"), *(F.col(f"bag.{b}").alias(f"{b}_r") for b in bags))
+    left = named(titled(articles.select("article_id", "title", "journal", F.col("year").cast("string").alias("year")), "title"), "journal")
+    left = left.select("article_id", "v", "year", F.col("t").alias("wanted"), normal_title_udf(main_title_udf("title")).alias("head"), F.length("t").alias("n"), "bag.rest", *(f"bag.{b}" for b in bags))
+    salts = right.groupBy("v").agg(F.ceil(F.count(F.lit(1)) / F.lit(SALTED)).cast("int").alias("salts"))
+    left = left.join(salts, "v").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    right = right.join(salts, "v").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int")).drop("salts")
+    dated = F.when(F.col("dated") == F.col("year"), F.lit(YEAR_WEIGHT)).otherwise(F.lit(0.0))
+    # Letters that a likeness of at least what is needed has in common; a little less, for rounding.
+    needed = (F.lit(least - VENUE_WEIGHT - 1e-9) - dated) / F.lit(TITLE_WEIGHT) * (F.col("n") + F.col("m")) / 2
+    shared = reduce(lambda x, y: x + y, (F.bit_count(F.col(b).bitwiseAND(F.col(f"{b}_r"))) for b in bags)) + F.least("rest", "rest_r")
+    headed = F.col("head") == F.col("found")
+    met = left.repartition(tasks, "v", "salt").join(right.repartition(tasks, "v", "salt"), ["v", "salt"])
+    near = met.where(headed | ((F.least("n", "m") >= needed) & (shared >= needed))).select("article_id", "id", "wanted", "found", needed.alias("needed"), headed.alias("headed"))
+    # Not as an "or" of the same condition: Catalyst would merge both filters and run Python before the first.
+    most = F.greatest(common_udf("wanted", "found").cast("double"), F.when(F.col("headed"), F.col("needed")).otherwise(F.lit(0.0)))
+    return near.where(most >= F.col("needed")).select("article_id", "id")
 
 
 def resolve(articles: DataFrame, works: DataFrame, pairs: DataFrame, least: float = LEAST_CONFIDENCE) -> DataFrame:

@@ -174,12 +174,20 @@ def journals(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("journal").agg(F.count(F.lit(1)).alias("n"), F.min("article_id").alias("first"), F.min_by("h5_index", "article_id").alias("h5_index"), F.min_by("h5_median", "article_id").alias("h5_median"))
 
 
-def resolved_articles(spark: SparkSession, d: str) -> DataFrame:
-    """The work of every Scholar article by the weighted score of title, venue and year."""
+def scholar_titles(spark: SparkSession, d: str) -> DataFrame:
     raw = table(spark, d, "scholar_articles")
-    articles = raw.select("article_id", "journal", "year", F.coalesce(names.scraped_title_udf("title"), F.lit("")).alias("title"))
+    return raw.select("article_id", "journal", "year", F.coalesce(names.scraped_title_udf("title"), F.lit("")).alias("title"))
+
+
+def one_title(spark: SparkSession, d: str) -> DataFrame:
+    """One row per work of a title: id, title, venue, published, cited."""
     one = works(spark, d).withColumn("k", work_key(F.col("id"))).where(F.col("k").isNotNull() & F.col("display_name").isNotNull()).groupBy("k")
-    one = one.agg(F.max("display_name").alias("title"), F.min(papers.first_venue()).alias("venue"), F.min("publication_date").cast("string").alias("published"), F.max("cited_by_count").alias("cited")).withColumnRenamed("k", "id")
+    return one.agg(F.max("display_name").alias("title"), F.min(papers.first_venue()).alias("venue"), F.min("publication_date").cast("string").alias("published"), F.max("cited_by_count").alias("cited")).withColumnRenamed("k", "id")
+
+
+def resolved_articles(spark: SparkSession, d: str) -> DataFrame:
+    """The work of every Scholar article by the weighted score of title, venue and year."""
+    articles, one = scholar_titles(spark, d), one_title(spark, d)
     return resolution.resolve(articles, one, resolution.candidates(articles, one))
 
 

@@ -1,11 +1,16 @@
 import datetime as dt
 import json
+import os
+import random
+from difflib import SequenceMatcher
 
 import pytest
 from conftest import SMALL, needs_data
 from pyspark.sql import functions as F
 
+from paperloom.functions import names
 from paperloom.operators import keyed, nested, orphans, papers, references, resolution, sampling, topics
+from paperloom.plans import reference
 from paperloom.sources.config import ConfigError, api_key, make_config
 from paperloom.sources.snapshot import WORKS
 
@@ -164,6 +169,40 @@ def test_resolution(spark):
     assert [got[i].reason for i in (2, 3, 4)] == ["empty_cleaned_scholar_title", "no_candidates", "low_confidence_match"]
 
 
+def test_resolution_without_a_rare_word(spark):
+    # Every word of the article but a misspelt one stands in more than 20 titles.
+    works = [(f"W{i}", f"Effects of {w} on muscle tone at night in older adults", "J One", "2020-05-01", i) for i, w in enumerate(f"z{a}o{b}binol" for a in "bcdfg" for b in "klmnp")]
+    works += [("W90", "Effects of zbokbinol on muscle tone at night in older adults", "J Two", "2020-05-01", 99), ("W91", "Muscle tone", "J One", None, 1), ("W92", None, "J One", None, 1), ("W93", "Muscle tone", None, None, 1)]
+    articles = [(1, "Effects of zbokbinoll on muscle tone at night in older adults", "J. One", 2020), (2, "Muscle tone: effects of zbobkinol on older adults", "J One", 2021), (3, "Tone of muscle in adults", "J One", None), (4, None, "J One", 2020), (5, "Muscle tone", None, 2020)]
+    a = spark.createDataFrame(articles, "article_id int, title string, journal string, year int")
+    w = spark.createDataFrame(works, "id string, title string, venue string, published string, cited int")
+    got = {r.article_id: (r.status, r.work_id) for r in resolution.resolve(a, w, resolution.candidates(a, w)).collect()}
+    assert got == {1: ("resolved", "W0"), 2: ("resolved", "W91"), 3: ("unresolved", None), 4: ("unresolved", None), 5: ("unresolved", None)}
+    with pytest.raises(ValueError):
+        resolution.candidates(a, w, least=0.8)
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.01"), reason="no test data")
+def test_resolution_equals_brute_force(spark):
+    d = "/root/testdata/sf0.01"
+    articles, one = reference.scholar_titles(spark, d), reference.one_title(spark, d)
+    every = articles.select("article_id", names.normal_title_udf("journal").alias("v")).join(one.select("id", names.normal_title_udf("venue").alias("v")), "v").select("article_id", "id")  # the rest scores 0.83 at most
+    want = {r.article_id: r for r in resolution.resolve(articles, one, every).where("status = 'resolved'").collect()}
+    got = {r.article_id: r for r in reference.resolved_articles(spark, d).where("status = 'resolved'").collect()}
+    assert len(want) > 50 and {k: (r.work_id, r.confidence) for k, r in got.items()} == {k: (r.work_id, r.confidence) for k, r in want.items()}
+
+
+@pytest.mark.parametrize("letters", ["abcdef ", "aé漢 b"])
+def test_bounds_of_likeness(letters):
+    rng = random.Random(5)
+    one = lambda: "".join(rng.choice(letters) for _ in range(rng.choice([1, 5, 63, 64, 65, 128, 130, rng.randint(1, 200)])))
+    a, b = [one() for _ in range(150)], [one() for _ in range(150)]
+    (x, p), (y, q) = names.bags(a), names.bags(b)
+    letters_shared = [sum((int(i) & int(j) & (1 << 64) - 1).bit_count() for i, j in zip(u, v, strict=True)) + min(m, n) for u, v, m, n in zip(x, y, p, q, strict=True)]
+    blocks = [sum(m.size for m in SequenceMatcher(None, s, t).get_matching_blocks()) for s, t in zip(a, b, strict=True)]
+    assert all(m <= c <= s for m, c, s in zip(blocks, names.common(a, b), letters_shared, strict=True))
+
+
 def test_references(spark):
     parents = spark.createDataFrame([("P", ["A", "A", " ", None, "B"]), ("Q", None)], "p string, refs array<string>")
     parsed = spark.createDataFrame([("A", []), ("C", ["x"])], "id string, skip_reasons array<string>")
