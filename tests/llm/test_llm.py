@@ -199,6 +199,16 @@ def test_link(spark):
     assert {r.article_id: r.work_id for r in got} == {1: "W0", 2: "W1", 7: "W0", 8: "W4"} and all(0.8 <= r.confidence <= 1 for r in got)
 
 
+def graph(spark, left, rights):
+    rows = spark.createDataFrame(list(enumerate(rights)), "right bigint, title string")
+    return {r.right for r in linkage.edges(spark.createDataFrame([(0, left)], "left bigint, title string"), rows).collect()}
+
+
+def test_edges_with_words_that_no_work_has(spark):
+    rights = [f"Effects of {a}o{b}binol on muscle tone at night" for a in "bcdfghjk" for b in "klmnprtv"]
+    assert 0 in graph(spark, "Effects of xbokibnlo on muscle tone at night", rights)
+
+
 # ---------------------------------------------------------------- sentences
 
 
