@@ -209,6 +209,13 @@ def test_edges_with_words_that_no_work_has(spark):
     assert 0 in graph(spark, "Effects of xbokibnlo on muscle tone at night", rights)
 
 
+def test_light_edges_stay(spark):
+    # The second work shares every word, the first one only two of four, the others misspelt.
+    rights = ["Aglumabix trseatne plnkosae zorbinol in adults", "Zorbinol plonkase trestane aglumabix", *(f"Case {i} in adults" for i in range(100))]
+    rights += [rights[0].replace("adults", "mice").replace("zorbinol ", "").replace("aglumabix ", ""), "Trestane", "Plonkase"]
+    assert graph(spark, "Aglumabix trestane plonkase zorbinol in adults", rights) >= {0, 1}
+
+
 # ---------------------------------------------------------------- sentences
 
 
