@@ -17,7 +17,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.names import BAG, LEAST_CONFIDENCE, TITLE_WEIGHT, VENUE_WEIGHT, YEAR_WEIGHT, bag_udf, common_udf, main_title_udf, normal_title_udf, title_score_udf
+from ..functions.letters import BAG, bag_udf, common_udf
+from ..functions.names import LEAST_CONFIDENCE, TITLE_WEIGHT, VENUE_WEIGHT, YEAR_WEIGHT, main_title_udf, normal_title_udf, title_score_udf
 
 #: Words in more than this part of all titles lead to no candidate by themselves.
 COMMON_WORD = 0.001
