@@ -2,9 +2,10 @@
 
 Each code point gets a class: by its kind, and, where a full stop or a quotation mark is ambiguous, by what stands next
 to it (abbreviations, initials, ordinals, dates; opening and closing marks; items of lists; blank lines; spaces between
-Thai phrases). The transducer reads classes. Its state is what was read last (a terminator, closing marks, spaces), and
-whether a quotation or a bracket is open and began inside the sentence. It is compiled once into two tables, next state
-and boundary, from the rules in ``_step``.
+Thai phrases). The transducer reads classes. Its state is what was read last (a terminator, closing marks, spaces),
+whether a quotation or a bracket is open and began inside the sentence, and whether a low opening mark („) waits for the
+mark that closes it, which elsewhere opens a quotation; so that mark may be any distance away. It is compiled once into two
+tables, next state and boundary, over the states that can be reached, from the rules in ``_step``.
 
 All texts of a batch run side by side, one class per step. A long text is cut into chunks: those after the first run from
 every state at once, which makes each a function from state to state; the functions are composed by a prefix scan, and
@@ -25,8 +26,8 @@ from pyspark.sql import DataFrame
 
 from ..runtime import spread
 
-#: Code points per chunk.
-CHUNK = 4096
+#: Code points per chunk: longer texts are composed of the functions of their chunks.
+CHUNK = 512
 
 #: Abbreviations after which a sentence goes on whatever follows.
 NEVER = """
@@ -39,7 +40,7 @@ MAYBE = "al etc Inc Ltd Co Corp Jr a.m p.m U.S U.K usw coll cols ecc др г г
 #: Those that number what follows.
 NUMBERING = "no nos No Nos n nº p P S v Art".split()
 
-CLASSES = "SP PB UP LOW CL HAN TO TH DIG DOT DOTX DOTM QE FULL FULLQ ELL OQ CQ CQJ OB CB REF SYM CONT INV IGN TSP".split()
+CLASSES = "SP PB UP LOW CL HAN TO TH DIG DOT DOTX DOTM QE FULL FULLQ ELL OQ CQ CQJ OQL EQO EQC OB CB REF SYM CONT INV IGN TSP".split()
 C = {name: i for i, name in enumerate(CLASSES)}
 
 #: What was read last: nothing, text, a terminator of some kind (q: asks or exclaims, m: after an abbreviation, e: dots,
@@ -71,8 +72,20 @@ def _begins(phase: str, kind: str) -> bool:
     return kind in ("UP", "DIG", "INV")  # dots
 
 
-def _step(phase: str, quote: int, bracket: int, kind: str) -> tuple[tuple[str, int, int], bool]:
-    """Next state, and whether a sentence begins here. quote, bracket: 0 none, 1 begun with the sentence, 2 inside it."""
+def _step(state: tuple[str, int, int, bool], kind: str) -> tuple[tuple[str, int, int, bool], bool]:
+    """Next state, and whether a sentence begins here. The last part says that a low mark waits to be closed: then a mark
+    like 66 closes, else as its neighbours have it (EQC, EQO)."""
+    *rest, low = state
+    if kind in ("EQO", "EQC"):
+        kind, low = "CQ" if low or kind == "EQC" else "OQ", False
+    elif kind == "OQL":
+        kind, low = "OQ", True
+    after, begins = _turn(*rest, kind)
+    return (*after, low and kind != "PB"), begins
+
+
+def _turn(phase: str, quote: int, bracket: int, kind: str) -> tuple[tuple[str, int, int], bool]:
+    """The same without low marks. quote, bracket: 0 none, 1 begun with the sentence, 2 inside it."""
     here = (phase, quote, bracket)
     if kind == "IGN":
         return here, False
@@ -115,15 +128,16 @@ def _step(phase: str, quote: int, bracket: int, kind: str) -> tuple[tuple[str, i
 
 
 def _compile() -> tuple[np.ndarray, np.ndarray]:
-    states = [(p, q, b) for p in PHASES for q in range(3) for b in range(3)]
-    number = {s: i for i, s in enumerate(states)}
-    follow = np.zeros((len(states), len(CLASSES)), np.uint8)
-    begins = np.zeros((len(states), len(CLASSES)), bool)
-    for i, state in enumerate(states):
-        for j, kind in enumerate(CLASSES):
-            after, begins[i, j] = _step(*state, kind)
-            follow[i, j] = number[after]
-    return follow, begins
+    number = {("E", 0, 0, False): 0}
+    rows = []
+    for state in (waiting := list(number)):  # grows while it is gone through
+        steps = [_step(state, kind) for kind in CLASSES]
+        for after, _ in steps:
+            if after not in number:
+                number[after] = len(number)
+                waiting.append(after)
+        rows.append(steps)
+    return np.array([[number[after] for after, _ in row] for row in rows], np.uint16), np.array([[begins for _, begins in row] for row in rows])
 
 
 FOLLOW, BEGINS = _compile()
@@ -137,7 +151,7 @@ def _class_table() -> np.ndarray:
     rules = [
         (r"\p{L}", "CL"), (r"\p{Ll}", "LOW"), (r"[\p{Lu}\p{Lt}]", "UP"), (r"\p{N}", "DIG"), (r"[\p{M}\p{Cf}]", "IGN"), (r"[\p{Han}\p{Hiragana}\p{Katakana}ーｰ々]", "HAN"), (r"と", "TO"),
         (r"\p{Thai}", "TH"), (r"[\p{Z}\s\x1c-\x1f]", "SP"), (r"[!?؟]", "QE"), (r"[。．｡]", "FULL"), (r"[！？]", "FULLQ"), (r"[।॥]", "FULL"), (r"…", "ELL"), (r"\.", "DOT"), (r"[,;:،؛、，；：/]", "CONT"),
-        (r"[¿¡]", "INV"), (r"[“„‟‘‚«‹「『《〈]", "OQ"), (r"[”’»›》〉]", "CQ"), (r"[」』]", "CQJ"), (r"[(\[{（［【]", "OB"), (r"[)\]}）］】]", "CB"),
+        (r"[¿¡]", "INV"), (r"[“„‟‘‚«‹「『《〈]", "OQ"), (r"„", "OQL"), (r"[”’»›》〉]", "CQ"), (r"[」』]", "CQJ"), (r"[(\[{（［【]", "OB"), (r"[)\]}）］】]", "CB"),
     ]
     for pattern, name in rules:
         for found in regex.finditer(pattern, text):
@@ -161,6 +175,15 @@ _STRAIGHT = regex.compile(r"[\"'“’‘]")
 _THAI = regex.compile(r"(?<=[ก-๛])[^\S\n\r]+(?=[ก-๛“\"])")
 
 
+def _word_before(text: str, end: int) -> str:
+    while end and text[end - 1].isspace():
+        end -= 1
+    start = end
+    while start and not text[start - 1].isspace():
+        start -= 1
+    return text[start:end]
+
+
 def _stops(text: str, out: np.ndarray) -> None:
     """Which full stops end no sentence, or only before a capital; and words like mRNA that begin one."""
     n = len(text)
@@ -184,7 +207,7 @@ def _stops(text: str, out: np.ndarray) -> None:
             if before.isdigit() and i + 1 < n and text[i + 1].isspace():
                 while start and text[start - 1].isdigit():
                     start -= 1
-                if i - start <= 2 and text[:start].endswith(" ") and text[max(0, start - 8) : start].split()[-1:] and text[max(0, start - 8) : start].split()[-1].lower() in _ORDINAL:
+                if i - start <= 2 and start and text[start - 1] == " " and _word_before(text, start).lower() in _ORDINAL:
                     out[i] = C["DOTX"]
             continue
         if before == ".":
@@ -231,7 +254,6 @@ def classes(text: str) -> np.ndarray:
         out[found.start() : found.end()] = C["ELL"]
     for found in _REFERENCE.finditer(text):
         out[found.start() : found.end()] = C["REF"]
-    open_low = False
     for found in _STRAIGHT.finditer(text):
         i = found.start()
         before, after = text[i - 1] if i else " ", text[i + 1] if i + 1 < len(text) else " "
@@ -249,8 +271,7 @@ def classes(text: str) -> np.ndarray:
             else:
                 out[i] = C["IGN"]
         elif mark == "“":
-            open_low = "„" in text[max(0, i - 400) : i].rpartition("“")[2]
-            out[i] = C["CQ"] if open_low or (not before.isspace() and (after.isspace() or after in ",.;:)")) else C["OQ"]
+            out[i] = C["EQC"] if not before.isspace() and (after.isspace() or after in ",.;:)") else C["EQO"]
     previous = -2
     for found in _BLANK.finditer(text):
         out[found.start()] = C["PB"]
@@ -294,17 +315,22 @@ def _run(block: np.ndarray, states: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return states, marks
 
 
+_NEXT = np.concatenate([FOLLOW, np.arange(len(FOLLOW), dtype=FOLLOW.dtype)[:, None]], axis=1)  # beyond the end a state stays
+#: Steps after which states that have met are followed as one.
+_MERGED = frozenset([0, 1, 3, *(8 << 2 * i for i in range(12))])
+
+
 def _functions(block: np.ndarray) -> np.ndarray:
-    """Each row of classes as a function from state to state."""
-    n = len(FOLLOW)
-    out = np.tile(np.arange(n, dtype=np.uint8), (len(block), 1))
+    """Each row of classes as a function from state to state; states that meet go on together."""
+    n, rows = len(FOLLOW), len(block)
+    owner, now, place = np.repeat(np.arange(rows), n), np.tile(np.arange(n, dtype=FOLLOW.dtype), rows), np.arange(rows * n)
+    kinds = np.minimum(block, len(CLASSES))
     for i in range(block.shape[1]):
-        kinds = block[:, i]
-        live = np.flatnonzero(kinds != 255)
-        if not len(live):
-            break
-        out[live] = FOLLOW[out[live], kinds[live][:, None]]
-    return out
+        now = _NEXT[now, kinds[owner, i]]
+        if i in _MERGED:
+            met, back = np.unique(owner * n + now, return_inverse=True)
+            owner, now, place = met // n, (met % n).astype(FOLLOW.dtype), back[place]
+    return now[place].reshape(rows, n)
 
 
 def scan(functions: np.ndarray) -> np.ndarray:
@@ -336,17 +362,17 @@ def ends(texts: list[str | None], chunk: int = CHUNK) -> list[list[int]]:
         for a in range(0, len(k), chunk):
             pieces.append(k[a : a + chunk])
             owner.append((i, a))
-    starts = np.full(len(pieces), START, np.uint8)
+    starts = np.full(len(pieces), START, FOLLOW.dtype)
+    followed = [k for k in range(len(pieces) - 1) if owner[k][0] == owner[k + 1][0]]  # the chunks that others follow
+    functions = np.empty((len(followed), len(FOLLOW)), FOLLOW.dtype)
+    for rows, block in _blocks([pieces[k] for k in followed]):
+        functions[rows] = _functions(block)
     a = 0
-    while a < len(pieces):  # texts of several chunks: the states their chunks begin in
-        b = a
-        while b < len(pieces) and owner[b][0] == owner[a][0]:
+    while a < len(followed):  # of each long text the states that its chunks begin in
+        b = a + 1
+        while b < len(followed) and owner[followed[b]][0] == owner[followed[a]][0]:
             b += 1
-        if b - a > 1:
-            functions = np.empty((b - a - 1, len(FOLLOW)), np.uint8)
-            for rows, block in _blocks(pieces[a : b - 1]):
-                functions[rows] = _functions(block)
-            starts[a + 1 : b] = scan(functions)[:, START]
+        starts[followed[a] + 1 : followed[b - 1] + 2] = scan(functions[a:b])[:, START]
         a = b
     found: list[list[int]] = [[] for _ in texts]
     for rows, block in _blocks(pieces):

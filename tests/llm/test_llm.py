@@ -158,6 +158,21 @@ def test_components(spark):
     assert near_duplicates.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+@settings(max_examples=30, deadline=None)
+@given(st.integers(0, 4000), st.sampled_from([16, 64, 512]))
+def test_an_opening_mark_any_distance_away(far, chunk):
+    text = "Er fragte: „" + "wort " * far + "ja…“? Danach ging er. Ende kam."
+    assert sentences.ends([text], chunk)[0] == [text.index("?") + 1, text.index("er. E") + 3, len(text)]
+    text = "„Ende.“ " + "Wort. " * far + "He said “No. Never.” twice. Then."
+    assert len(sentences.ends([text], chunk)[0]) == 3 + far
+
+
+def test_long_texts_are_composed_of_chunks():
+    text = "Am Abend des 3. Mai kam Dr. Braun (sie lief. Schnell!) an. „Gut. Ja.“ sagte sie. 東京です。はい。 " * 20_000  # megabytes
+    assert sentences.ends([text])[0] == sentences.ends([text], len(text))[0]
+    assert sentences._word_before("x " + "y" * 5000 + "  12", 5004) == "y" * 5000
+
+
 # ---------------------------------------------------------------- linkage
 
 
