@@ -1,8 +1,9 @@
 """Token ids of whole texts by a public byte-level BPE tokenizer.
 
-Short texts are encoded at once. A long text is cut at the tokenizer's own split points; a long piece that has none (a
-run of letters without spaces, as in many scripts) is encoded as a tree: both halves in parallel, then a window of tokens
-around the join is encoded again and doubled until its first and last token equal those of the halves. Byte-pair encoding
+A text is cut at the tokenizer's own split points. A piece that has none and is longer than a leaf (a run of letters without
+spaces, as in many scripts) is encoded as a tree: its leaves, in parallel if it is long, then pairwise up the tree a window
+of tokens around each join, encoded again and doubled until its first and last token equal those of the halves. Texts
+without such pieces are encoded at once, long ones by stretches in parallel. Byte-pair encoding
 is decided by neighbours: a row of tokens is an encoding exactly if each two neighbours are, so agreement at both ends
 proves the whole.
 
@@ -30,8 +31,8 @@ from ..runtime import spread
 TOKENIZERS = os.environ.get("PAPERLOOM_TOKENIZERS", "/opt/tokenizers")
 #: Fixed value: how the tokenizer splits a text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Code points from which a text is cut, bytes from which a piece is halved, tokens of the first window.
-LONG, LEAF, WINDOW = 1 << 17, 1 << 12, 8
+#: Code points of a stretch, bytes of a leaf, tokens of the first window, bytes from which leaves are encoded in parallel.
+LONG, LEAF, WINDOW, PARALLEL = 1 << 17, 32, 8, 1 << 14
 THREADS = 2
 
 
@@ -45,29 +46,38 @@ class ByteBpe:
         self.text_of = {rank: token for token, rank in ranks.items()}
         self.splits = regex.compile(PATTERN)
         self.long, self.leaf, self.window = long, leaf, window
+        runs = (r"\p{L}", r"\p{N}", r"[^\s\p{L}\p{N}]", r"\s")
+        self.runs, self.ascii_runs = (regex.compile("|".join(f"{x}{{{least},}}" for x in runs)) for least in (max(1, leaf // 4), leaf))
         self.pool = ThreadPoolExecutor(THREADS)
 
     def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
-        if len(text) <= self.long:
+        if len(text) <= self.long and not self.unsplit(text):
             return self.encoding.encode_ordinary(text)
         return self._long(text)
 
+    def unsplit(self, text: str) -> bool:
+        """Whether a piece may be longer than a leaf; a space may stand before its run, and a code point has up to four bytes."""
+        if text.isascii():
+            return self.ascii_runs.search(text) is not None
+        return any(len(found.group().encode()) >= self.leaf for found in self.runs.finditer(text))
+
     def _long(self, text: str) -> list[int]:
         """Stretches between split points, and unsplit pieces as trees, in order."""
         jobs, start, end, blanks = [], 0, 0, []  # [start, end): a stretch that ends in no white space; then single blank pieces
+        plain = self.encoding.encode_ordinary if len(text) <= self.long else lambda x: self.pool.submit(self.encoding.encode_ordinary, x)
 
         def close() -> None:
             if end > start:
-                jobs.append(self.pool.submit(self.encoding.encode_ordinary, text[start:end]))
+                jobs.append(plain(text[start:end]))
             jobs.extend(self.tree(text[i:j].encode()) for i, j in blanks)  # on its own, a stretch would join them
 
         for found in self.splits.finditer(text):
             i, j = found.span()
-            if j - i > self.leaf:
+            if 4 * (j - i) > self.leaf and len(piece := text[i:j].encode()) > self.leaf:
                 close()
-                jobs.append(self.tree(text[i:j].encode()))
+                jobs.append(self.tree(piece))
                 start, end, blanks = j, j, []
             elif text[i:j].isspace():
                 blanks.append((i, j))
@@ -80,12 +90,12 @@ class ByteBpe:
         return [token for job in jobs for token in (job if isinstance(job, list) else job.result())]
 
     def tree(self, piece: bytes) -> list[int]:
-        """Ids of one piece: leaves in parallel, then joined pairwise up the tree."""
-        leaves = [piece[i : i + self.leaf] for i in range(0, len(piece), self.leaf)]
-        level = list(self.pool.map(self.encoding._encode_single_piece, leaves))
+        """Ids of one piece: leaves, then joined pairwise up the tree."""
+        each = self.pool.map if len(piece) >= PARALLEL else map
+        level = list(each(self.encoding._encode_single_piece, (piece[i : i + self.leaf] for i in range(0, len(piece), self.leaf))))
         while len(level) > 1:
             pairs = [level[i : i + 2] for i in range(0, len(level), 2)]
-            level = list(self.pool.map(lambda pair: self.join(*pair) if len(pair) == 2 else pair[0], pairs))
+            level = list(each(lambda pair: self.join(*pair) if len(pair) == 2 else pair[0], pairs))
         return level[0]
 
     def join(self, left: list[int], right: list[int]) -> list[int]:

@@ -37,6 +37,17 @@ def test_encode_column(spark, small_bpe):
     assert encode.encode_texts(clash, "text").first().ids == small_bpe.encode("hi")
 
 
+def test_trees_at_production_parameters(monkeypatch):
+    bpe, trees = encode.ByteBpe(encode.vocabulary()), []
+    real = bpe.tree
+    monkeypatch.setattr(bpe, "tree", lambda piece: trees.append(len(piece)) or real(piece))
+    for text in ["これはとても長い名前をもつ酵素についての報告です。", "x" * 40, " " * 33 + "y", "語" * 7000 + " " + "ab" * 9000, "é" * 17 + "!" * 500]:
+        before = len(trees)
+        assert bpe.encode(text) == bpe.encoding.encode_ordinary(text) and len(trees) > before and min(trees) > encode.LEAF
+    trees.clear()
+    assert bpe.encode("Short words only, 12 of them.") and not trees
+
+
 # ---------------------------------------------------------------- stable samples
 
 
