@@ -3,11 +3,13 @@
 One model per language gives the probability of each character after the up to four before it, within a word. All models
 share their n-grams: one sorted array of hashes with a column of log probabilities and of back-off weights per language.
 A text is cut into sentences; a sentence belongs to the language with the least cross-entropy per character, unless it is
-too short, too unlike the samples or too close between two languages. Limits come from held-out halves of the samples.
+too short, too unlike what its model was trained on or too close between two languages. How unlike a text of a language may
+be is calibrated per language and length on held-out halves; beyond that it is in none of the languages known.
 
 Defined results: null, empty and word-less texts have no language; mark-up is no text; a sentence that isn't decided takes
-part in the sums of the whole text only; a text of undecided sentences gets the language of the sums; repeated texts get
-the same answer; very long texts are read whole.
+part in the sums of the whole text only; a text of undecided sentences gets the language of the sums, or ``und`` where that
+is rejected too; repeated texts get the same answer; very long texts are read whole. Segments cover a text from its first
+word to its last: what isn't decided belongs to the segment before it, at the beginning to the one after it.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ ADAPT_TEXTS, ADAPT = 3000, 200
 ALPHABET = 3000
 #: Letters below which a sentence isn't judged alone; nats by which its language must lead, in all and per letter.
 MIN_LETTERS, LEAD, LEAD_PER_LETTER = 12, 6.0, 0.08
+#: Rejection: standard deviations, for the length at hand, and nats per character above the held-out mean. No language known.
+DEVIATIONS, MARGIN, UNKNOWN = 6.0, 0.4, "und"
 #: The same for a further language, against each that the text has already.
 OTHER_LEAD, OTHER_LEAD_PER_LETTER = 20.0, 0.4
 
@@ -64,7 +68,12 @@ class Model:
     contexts: np.ndarray  # sorted hashes
     backoff: np.ndarray  # context x language, log weight
     unseen: np.ndarray  # by language, log probability of a character no sample has
-    worst: np.ndarray  # by language, greatest cross-entropy that is still accepted
+    usual: np.ndarray  # by language, cross-entropy of held-out sentences
+    spread: np.ndarray  # by language, its standard deviation for one character; that of n is less by the root of n
+
+    def limits(self, langs: np.ndarray, steps: np.ndarray) -> np.ndarray:
+        """Greatest cross-entropy of texts of so many characters that is accepted."""
+        return self.usual[langs] + DEVIATIONS * self.spread[langs] / np.sqrt(np.maximum(steps, 1)) + MARGIN
 
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -181,13 +190,16 @@ def fit(samples: list[tuple[str, str]]) -> Model:
     model = _fitted(samples, langs)
     found = defaultdict(list)
     for half in (0, 1):
-        held = _fitted([s for i, s in enumerate(samples) if i % 2 != half], langs)
-        for lang, text in (s for i, s in enumerate(samples) if i % 2 == half):
-            words = words_of(text)
-            if words:
-                sums = score_words(held, words).sum(0)
-                found[lang].append(-sums[held.langs.index(lang)] / (sum(map(len, words)) + len(words)))
-    model.worst = np.array([np.mean(found[lang]) + 6 * np.std(found[lang]) + 1.0 if found[lang] else np.inf for lang in model.langs])
+        held = _fitted(samples[half::2], langs)
+        for lang, text in samples[1 - half :: 2]:
+            if words := words_of(text):
+                steps = sum(map(len, words)) + len(words)
+                found[lang].append((-score_words(held, words).sum(0)[held.langs.index(lang)] / steps, steps))
+    for i, lang in enumerate(model.langs):
+        if rows := np.array(found[lang]).reshape(-1, 2).tolist():
+            entropy, steps = np.array(rows).T
+            model.usual[i] = np.average(entropy, weights=steps)
+            model.spread[i] = np.sqrt(np.mean((entropy - model.usual[i]) ** 2 * steps))
     return model
 
 
@@ -196,14 +208,14 @@ def _fitted(rows: list[tuple[str, str]], langs: list[str]) -> Model:
     for lang, text in rows:
         words[lang] += words_of(text)
     prob, back, unseen, _ = _train(words, ALPHABET)
-    return Model(langs, *_sorted(prob), *_sorted(back), unseen.astype(np.float32), np.full(len(langs), np.inf))
+    return Model(langs, *_sorted(prob), *_sorted(back), unseen.astype(np.float32), np.full(len(langs), np.inf), np.zeros(len(langs)))
 
 
 def adapt(model: Model, samples: list[tuple[str, str]], labelled: list[tuple[str, str]]) -> Model:
     """Train again with sentences of labelled texts of the collection, where the first model bears the label out.
 
     A text counts if its language by the first model is its label. Of it, sentences clearly in another language are left
-    out. The limits stay those of the samples.
+    out. The limits are calibrated anew with them.
     """
     more: dict[str, list[str]] = defaultdict(list)
     for lang, text in labelled:
@@ -219,10 +231,7 @@ def adapt(model: Model, samples: list[tuple[str, str]], labelled: list[tuple[str
         for (part, words), row in zip(parts, sums, strict=True):
             if row.max() - row[own] < 2 * OTHER_LEAD_PER_LETTER * sum(map(len, words)):
                 more[lang].append(part)
-    rows = samples + [(lang, part) for lang in model.langs for part in more[lang][:ADAPT]]
-    adapted = _fitted(rows, model.langs)
-    adapted.worst = model.worst
-    return adapted
+    return fit(samples + [(lang, part) for lang in model.langs for part in more[lang][:ADAPT]])
 
 
 def _find(table: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -272,27 +281,57 @@ class Reader:
     def read(self, texts: list[str | None]) -> list[list[tuple[str, float, int]]]:
         """Of each text its languages with confidence and number of sentences, the most used first."""
         out: list[list[tuple[str, float, int]]] = [[] for _ in texts]
-        block: list[tuple[int, list[str]]] = []
+        for i, sums, steps, decided, main, _ in self._judged(texts):
+            for lang, n in Counter(decided[decided >= 0].tolist()).most_common() or [(main, len(decided))]:
+                own = sums[decided == lang].sum(0) if (decided >= 0).any() else sums.sum(0)
+                out[i].append((self._name(lang), self._confidence(own, lang, steps.sum()), n))
+        return out
+
+    def segments(self, texts: list[str | None]) -> list[list[tuple[int, int, str, float]]]:
+        """Of each text its segments in turn: where they begin and end in code points, language, confidence."""
+        out: list[list[tuple[int, int, str, float]]] = [[] for _ in texts]
+        for i, sums, steps, decided, main, spans in self._judged(texts):
+            langs = decided.copy()
+            for k in range(1, len(langs)):
+                langs[k] = langs[k] if langs[k] >= 0 else langs[k - 1]
+            langs[langs < 0] = next((x for x in langs if x >= 0), main)
+            first = np.flatnonzero(np.concatenate([[True], langs[1:] != langs[:-1]])).tolist()
+            for a, b in zip(first, [*first[1:], len(langs)], strict=True):
+                out[i].append((spans[a][0], spans[b - 1][1], self._name(langs[a]), self._confidence(sums[a:b].sum(0), langs[a], steps[a:b].sum())))
+        return out
+
+    def _name(self, lang: int) -> str:
+        return self.model.langs[lang] if lang >= 0 else UNKNOWN
+
+    @staticmethod
+    def _confidence(sums: np.ndarray, lang: int, steps: int) -> float:
+        """Of the language against the others; of none, how the best one stands among them."""
+        odds = (sums - (sums[lang] if lang >= 0 else sums.max())) / max(1.0, steps**0.5)
+        return float(1 / np.exp(odds).sum())
+
+    def _judged(self, texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, int, list[tuple[int, int]]]]:
+        """Of each text with words: its place, and of its sentences sums per language, characters, the language decided on or
+        -1; then the language of the whole or -1, and where the sentences lie."""
+        block: list[tuple[int, list[str], tuple[int, int]]] = []
         size = 0
         for i, text in enumerate(texts):
-            for sentence in sentences(text) if text else ():
+            for sentence, at in spans(text) if text else ():
                 if words := words_of(sentence):
-                    block.append((i, words))
+                    block.append((i, words, at))
                     size += len(words)
             if size > 50_000:
-                self._decide(block, out)
+                yield from self._decide(block)
                 block, size = [], 0
         if block:
-            self._decide(block, out)
-        return out
+            yield from self._decide(block)
 
-    def _decide(self, block: list[tuple[int, list[str]]], out: list) -> None:
-        flat = [w for _, words in block for w in words]
+    def _decide(self, block: list) -> Iterator[tuple]:
+        flat = [w for _, words, _ in block for w in words]
         rows = self._rows(flat)
-        counts = np.fromiter((len(words) for _, words in block), np.int64, len(block))
-        letters = np.fromiter((sum(map(len, words)) for _, words in block), np.int64, len(block))
+        counts = np.fromiter((len(words) for _, words, _ in block), np.int64, len(block))
+        letters = np.fromiter((sum(map(len, words)) for _, words, _ in block), np.int64, len(block))
         sums = np.add.reduceat(rows, np.cumsum(counts) - counts, axis=0).astype(np.float64)
-        owner = np.fromiter((i for i, _ in block), np.int64, len(block))
+        owner = np.fromiter((i for i, _, _ in block), np.int64, len(block))
         first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
         whole = np.add.reduceat(sums, first, axis=0)
         main = np.repeat(np.argmax(whole, axis=1), np.diff(np.concatenate([first, [len(block)]])))
@@ -304,23 +343,19 @@ class Reader:
         lead = top - rest.max(axis=1)
         steps = letters + counts
         wide = _dense(block)
-        known = -top / steps <= self.model.worst[best]
+        known = -top / steps <= self.model.limits(best, steps)
         sure = (letters >= np.where(wide, MIN_LETTERS // 3, MIN_LETTERS)) & known & (lead >= LEAD) & (lead >= LEAD_PER_LETTER * letters)
         sure &= (best == main) | (counts >= 3) | wide
-        ends = np.concatenate([first[1:], [len(block)]])
-        for a, b, total in zip(first, ends, whole, strict=True):
+        for a, b, total in zip(first, [*first[1:], len(block)], whole, strict=True):
             if len(set(best[a:b][sure[a:b]].tolist()) | {int(main[a])}) > 1:
                 self._further(sums[a:b], best[a:b], sure[a:b], letters[a:b], int(main[a]))
-            decided = Counter(best[a:b][sure[a:b]].tolist())
-            if not decided:
-                decided = Counter([int(np.argmax(total))])
-            for lang, n in decided.most_common():
-                own = sums[a:b][(best[a:b] == lang) & sure[a:b]].sum(0) if n and sure[a:b].any() else total
-                length = steps[a:b].sum()
-                odds = (own - own[lang]) / max(1.0, length**0.5)
-                confidence = float(1 / np.exp(odds).sum())
-                out[owner[a]].append((self.model.langs[lang], confidence, n))
-
+            for other in set(best[a:b][sure[a:b]].tolist()):  # what a language explains best must be like it as a whole, too
+                its = np.flatnonzero(best[a:b] == other) + a
+                if -top[its].sum() / steps[its].sum() > self.model.limits(np.array(other), steps[its].sum()):
+                    sure[its] = False
+            lang, length = int(main[a]), steps[a:b].sum()
+            lang = lang if -total[lang] / length <= self.model.limits(np.array(lang), length) else -1
+            yield owner[a], sums[a:b], steps[a:b], np.where(sure[a:b], best[a:b], -1), lang, [at for _, _, at in block[a:b]]
 
     @staticmethod
     def _further(sums: np.ndarray, best: np.ndarray, sure: np.ndarray, letters: np.ndarray, main: int) -> None:
@@ -337,12 +372,23 @@ class Reader:
 
 def _dense(block: list[tuple[int, list[str]]]) -> np.ndarray:
     """True where a sentence is written without spaces: few, long words of other than Latin letters."""
-    return np.fromiter((any(c >= "฀" for c in words[0][:1] + words[-1][-1:]) for _, words in block), bool, len(block))
+    return np.fromiter((any(c >= "฀" for c in words[0][:1] + words[-1][-1:]) for _, words, _ in block), bool, len(block))
 
 
 def sentences(text: str) -> list[str]:
     """Stretches of running text; mark-up left out."""
-    return _END.split(_MARKUP.sub(" ", text))
+    return [sentence for sentence, _ in spans(text)]
+
+
+def spans(text: str) -> Iterator[tuple[str, tuple[int, int]]]:
+    """The same with where they begin and end in the text, white space off."""
+    bare = _MARKUP.sub(lambda found: " " * len(found.group()), text)
+    start = 0
+    for end, after in [*((found.start(), found.end()) for found in _END.finditer(bare)), (len(bare), len(bare))]:
+        part = bare[start:end]
+        if left := part.lstrip():
+            yield part, (end - len(left), start + len(part.rstrip()))
+        start = after
 
 
 def labelled_samples(samples: DataFrame) -> list[tuple[str, str]]:
@@ -355,21 +401,28 @@ def labelled_samples(samples: DataFrame) -> list[tuple[str, str]]:
 
 
 def identify(df: DataFrame, text: str, keep: list[str], model: Model) -> DataFrame:
-    """Rows of (kept columns, lang, confidence, n_sentences), one per language of each text.
+    """Rows of (kept columns, lang, confidence, n_sentences), one per language of each text."""
+    return _read(df, text, keep, model, "read", {"lang": "string", "confidence": "double", "n_sentences": "int"})
 
-    The model goes along with the function; its size is bounded by SAMPLES, SAMPLE_CHARS and the number of languages.
-    """
+
+def segments(df: DataFrame, text: str, keep: list[str], model: Model) -> DataFrame:
+    """Rows of (kept columns, start, end, lang, confidence), one per segment of each text in one language."""
+    return _read(df, text, keep, model, "segments", {"start": "int", "end": "int", "lang": "string", "confidence": "double"})
+
+
+def _read(df: DataFrame, text: str, keep: list[str], model: Model, how: str, fields: dict[str, str]) -> DataFrame:
+    """The model goes along with the function; its size is bounded by SAMPLES, SAMPLE_CHARS and the number of languages."""
     shared = df.sparkSession.sparkContext.broadcast(model)
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema] + ["lang string", "confidence double", "n_sentences int"])
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema] + [f"{name} {kind}" for name, kind in fields.items()])
+    kinds = {"string": pa.string(), "double": pa.float64(), "int": pa.int32()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(shared.value)
         for batch in batches:
-            answers = reader.read(batch.column(text).to_pylist())
+            answers = getattr(reader, how)(batch.column(text).to_pylist())
             rows = pa.array(np.repeat(np.arange(len(answers)), [len(a) for a in answers]), pa.int64())
             flat = [x for a in answers for x in a]
-            columns = [batch.column(c).take(rows) for c in keep]
-            columns += [pa.array([x[0] for x in flat], pa.string()), pa.array([x[1] for x in flat], pa.float64()), pa.array([x[2] for x in flat], pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, [*keep, "lang", "confidence", "n_sentences"])
+            found = [pa.array([x[k] for x in flat], kinds[kind]) for k, kind in enumerate(fields.values())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(rows) for c in keep), *found], [*keep, *fields])
 
     return spread(df.select(*keep, text)).mapInArrow(run, schema)

@@ -62,8 +62,8 @@ WHERE CAST('0x' || substr(md5(work_id || ':' || CAST(seed AS VARCHAR)), 1, 13) A
 # ---------------------------------------------------------------- languages
 
 
-def _identified(spark: SparkSession, d: str) -> DataFrame:
-    """Languages of every paper's abstract, next to the label of its work."""
+def _papers(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, language.Model]:
+    """Papers with the key of their work, the languages of works, and a model adapted to the papers."""
     samples = language.labelled_samples(table(spark, d, "language_samples"))
     papers = table(spark, d, "papers").select("paper_id", work_key(F.col("work_id")).alias("key"), "abstract")
     works = table(spark, d, "works").select(work_key(F.col("id")).alias("key"), "language")
@@ -72,20 +72,31 @@ def _identified(spark: SparkSession, d: str) -> DataFrame:
     some = some.orderBy(F.xxhash64("paper_id"), "paper_id").limit(language.ADAPT_TEXTS)  # bounded in rows and in each row
     named = works.join(F.broadcast(some), "key").groupBy("paper_id").agg(F.max(language.label_code(F.col("language"))).alias("code"), F.max("text").alias("text"))
     labelled = [(r.code, r.text) for r in named.where(F.col("code").isNotNull()).orderBy(F.xxhash64("paper_id"), "paper_id").collect()]  # at most ADAPT_TEXTS
-    model = language.adapt(language.fit(samples), samples, labelled)
-    found = language.identify(papers, "abstract", ["paper_id", "key"], model)
+    return papers, works, language.adapt(language.fit(samples), samples, labelled)
+
+
+def _identified(spark: SparkSession, d: str) -> DataFrame:
+    """Languages of every paper's abstract, next to the label of its work."""
+    papers, works, model = _papers(spark, d)
     labels = works.groupBy("key").agg(F.max("language").alias("label"))
-    return found.join(labels, "key", "left")
+    return language.identify(papers, "abstract", ["paper_id", "key"], model).join(labels, "key", "left")
 
 
 def p6_languages(spark: SparkSession, d: str) -> DataFrame:
-    """Every language of every abstract with its confidence, set against the label of the work."""
+    """Every language of every abstract with its confidence, set against the label of the work; ``und`` is none known."""
     return _identified(spark, d).select("paper_id", "lang", "confidence", "n_sentences", "label", (language.label_code(F.col("label")) == F.col("lang")).alias("agrees"))
 
 
+def p6_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Every segment of every abstract in one language: its place, the language and the confidence."""
+    papers, _, model = _papers(spark, d)
+    return language.segments(papers.select("paper_id", "abstract"), "abstract", ["paper_id"], model)
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     """Languages of abstracts whose label is missing or wrong, or that hold several."""
-    several = _identified(spark, d).groupBy("paper_id", "label").agg(F.collect_set("lang").alias("langs"))  # no more than there are models
+    known = _identified(spark, d).where(F.col("lang") != language.UNKNOWN)
+    several = known.groupBy("paper_id", "label").agg(F.collect_set("lang").alias("langs"))  # no more than there are models
     agrees = F.coalesce(language.label_code(F.col("label")) == F.col("langs")[0], F.lit(False))
     return several.where((F.size("langs") > 1) | ~agrees).select("paper_id", F.explode("langs").alias("lang"))
 
@@ -167,5 +178,5 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return sentences.sentence_ends(table(spark, d, "documents"), "text", ["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_links, p3_sample, p6_found, p6_languages, p7_found, p7_groups, p8_ids, p9_mix, p9_shares, p10_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_links, p3_sample, p6_found, p6_languages, p6_segments, p7_found, p7_groups, p8_ids, p9_mix, p9_shares, p10_found)}
 SQL = {"p3_sample": P3_SAMPLE, "p7_found": P7_FOUND}

@@ -41,7 +41,7 @@ def test_trees_at_production_parameters(monkeypatch):
     bpe, trees = encode.ByteBpe(encode.vocabulary()), []
     real = bpe.tree
     monkeypatch.setattr(bpe, "tree", lambda piece: trees.append(len(piece)) or real(piece))
-    for text in ["これはとても長い名前をもつ酵素についての報告です。", "x" * 40, " " * 33 + "y", "語" * 7000 + " " + "ab" * 9000, "é" * 17 + "!" * 500]:
+    for text in ["これはとても長い名前をもつ酵素についての報告です。", "x" * 40, " " * 40 + "y", "語" * 7000 + " " + "ab" * 9000, "é" * 17 + "!" * 500]:
         before = len(trees)
         assert bpe.encode(text) == bpe.encoding.encode_ordinary(text) and len(trees) > before and min(trees) > encode.LEAF
     trees.clear()
@@ -114,6 +114,35 @@ def test_language_held_out(spark):
     assert [(r.k, r.lang) for r in language.identify(texts, "text", ["k"], model).collect()] == [(1, "fr")]
 
 
+#: Languages and letters that no model is trained on.
+FOREIGN = [
+    "De onderzoekers vergeleken de behandeling met een placebo in een groep van volwassen patiënten. Het verschil was klein maar duidelijk.",
+    "Tutkijat vertasivat hoitoa lumelääkkeeseen aikuisilla potilailla. Ero ryhmien välillä oli pieni mutta selvä.",
+    "Οι ερευνητές συνέκριναν τη θεραπεία με εικονικό φάρμακο σε ενήλικες ασθενείς. Η διαφορά ήταν μικρή αλλά σαφής.",
+    "Badacze porównali leczenie z placebo u dorosłych pacjentów. Różnica między grupami była mała, ale wyraźna.",
+    "xqzv wrtk plmn bvcx zzqk jhgf dswq mnbv lkjp oiuy trew qasd zxcv bnmk",
+]
+
+
+@needs_data
+def test_rejection_and_segments(spark):
+    papers, _, model = queries._papers(spark, SMALL.replace("sf0.001", "sf0.01"))  # a tenth of that has too few labelled papers for narrow limits
+    reader = language.Reader(model)
+    assert [[x[0] for x in found] for found in reader.read(FOREIGN)] == [[language.UNKNOWN]] * len(FOREIGN)
+    rows = language.labelled_samples(table(spark, SMALL, "language_samples"))
+    assert sum(found[0][0] != lang for (lang, _), found in zip(rows, reader.read([t for _, t in rows]), strict=True)) <= 2
+    by = dict(rows)
+    text = f"<p>{by['en']} {by['en']}</p>\n{by['ru']} Or. {by['ja']}"
+    found = reader.segments([text, None, " "])
+    assert [x[2] for x in found[0]] == ["en", "ru", "ja"] and found[1:] == [[], []]
+    (a, b, _, _), (c, d, _, sure), (e, f, _, _) = found[0]
+    assert text[a:b].startswith(by["en"][:10]) and text[c:d].startswith(by["ru"]) and text[e:f] in by["ja"] and f <= len(text) and 0.5 < sure <= 1
+    segments = language.segments(papers.select("paper_id", "abstract"), "abstract", ["paper_id"], model)
+    langs = segments.groupBy("paper_id").agg(F.collect_set("lang").alias("langs"))
+    whole = language.identify(papers.select("paper_id", "abstract"), "abstract", ["paper_id"], model).groupBy("paper_id").agg(F.collect_set("lang").alias("all"))
+    assert langs.join(whole, "paper_id", "full").where("langs IS NULL OR all IS NULL OR NOT array_sort(langs) = array_sort(all)").count() == 0
+
+
 def test_probabilities_sum_to_one():
     model = language.fit([("en", "the cat sat on the mat"), ("en", "a dog ran"), ("de", "der Hund lief"), ("de", "die Katze")])
     prob, back, base, langs = language._train({"en": ["the", "cat", "sat"], "de": ["der", "hund"]}, 50)
