@@ -79,3 +79,29 @@ def discard(df: DataFrame) -> None:
     for file in df.inputFiles()[:1]:
         folder = jvm.org.apache.hadoop.fs.Path(os.path.dirname(file))
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Versions of a stored state that were written to their end, in order."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(at):
+        return []
+    found = [status.getPath() for status in files.listStatus(at) if status.isDirectory()]
+    return sorted(str(p) for p in found if files.exists(p.suffix("/_SUCCESS")))
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The last version of a state, or None before the first."""
+    versions = _folders(spark, path)
+    return spark.read.parquet(versions[-1]) if versions else None
+
+
+def store(state: DataFrame, path: str) -> DataFrame:
+    """Write ``state`` as the next version beside those before it, which it may have been read from; it counts once it is whole."""
+    spark = state.sparkSession
+    versions = _folders(spark, path)
+    number = int(versions[-1].rsplit("/", 1)[-1]) + 1 if versions else 0
+    at = f"{path.rstrip('/')}/{number:08d}"
+    state.write.mode("overwrite").parquet(at)  # over what a run that broke off may have left
+    return spark.read.schema(state.schema).parquet(at)
