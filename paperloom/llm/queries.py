@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import WORK_PATTERN, work_key
-from ..runtime import settle
+from ..runtime import settle, shared_folder
 from ..sources.tables import table
 from . import encode, language, linkage, mixture, near_duplicates, sentences, stable_sample
 
@@ -41,9 +42,9 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_sample(spark: SparkSession, d: str) -> DataFrame:
-    """The sample of every configuration with a seed."""
+    """The sample of every configuration with a seed, from weights stored in the shared folder (here of one run)."""
     matching = stable_sample.matching(table(spark, d, "works"), table(spark, d, "fetch_configs"), work_key(F.col("id")))
-    return stable_sample.select(stable_sample.running_weights(matching))
+    return stable_sample.select(stable_sample.update(matching, f"{shared_folder(spark)}/weights-{uuid.uuid4().hex}"))
 
 
 P3_SAMPLE = f"""

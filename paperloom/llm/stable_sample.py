@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import store, stored
+
 #: Matching records of weight one among which a configuration's count is expected.
 POPULATION = 1000
 #: Weight of a record: 1, and up to 1 more with its citations.
@@ -36,6 +38,15 @@ def running_weights(deliveries: DataFrame, state: DataFrame | None = None) -> Da
     return rows.groupBy("config_id", "work_id").agg(F.max("weight").alias("weight"), *constant)
 
 
+def update(deliveries: DataFrame, path: str) -> DataFrame:
+    """Fold deliveries into the weights stored under ``path``; the new state, stored there as well.
+
+    Maxima fold in any order, so deliveries may come late, twice or in pieces; what was selected once stays selected, even
+    where later snapshots no longer hold what gave a record its weight.
+    """
+    return store(running_weights(deliveries, stored(deliveries.sparkSession, path)), path)
+
+
 def select(state: DataFrame) -> DataFrame:
     """The sample that the state gives."""
     hashed = state.withColumn("u", unit_hash(F.col("work_id"), F.col("seed")))

@@ -63,6 +63,18 @@ def test_stable_sample(spark):
     assert stable_sample.select(stable_sample.running_weights(rows(400, 1.0).limit(0))).count() == 0
 
 
+def test_stored_weights(spark, tmp_path):
+    def rows(pairs):
+        return spark.createDataFrame([(1, w, x, 7, 0.2) for w, x in pairs], "config_id int, work_id string, weight double, seed bigint, rate double")
+
+    first = stable_sample.update(rows([(f"W{i}", 2.0) for i in range(300)]), str(tmp_path / "w"))
+    before = {r.work_id for r in stable_sample.select(first).collect()}
+    (tmp_path / "w" / "00000001").mkdir()  # a run that broke off
+    later = stable_sample.update(rows([(f"W{i}", 1.0) for i in range(100)] + [(f"W{i}", 1.0) for i in range(900, 950)]), str(tmp_path / "w"))  # a snapshot that lacks most, with lower weights
+    after = {r.work_id for r in stable_sample.select(later).collect()}
+    assert before <= after and later.count() == 350 and len(before) > 50
+
+
 # ---------------------------------------------------------------- mixing
 
 
