@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from ..runtime import settle
 
-#: Ranges of the hash within a source; only one of them is ever put in order.
-RANGES = 4096
+#: Bits of the hash that number its ranges within a source; only one range is ever put in order.
+HASH_BITS, RANGE_BITS = 52, 16
 
 
 def water_fill(sizes: dict[str, int], shares: dict[str, float], limits: dict[str, int], budget: float) -> dict[str, float]:
@@ -64,7 +64,7 @@ def mix(sized: DataFrame, weights: DataFrame, *, item: str, seed: int, budget: f
 
     # One range per source holds the end of its last, partial pass: found by counts, then put in order on its own.
     w = Window.partitionBy("source").orderBy("range")
-    ranged = sized.withColumn("h", hash_place(F.col(item), seed)).withColumn("range", F.shiftright("h", 40).cast("int"))
+    ranged = sized.withColumn("h", hash_place(F.col(item), seed)).withColumn("range", F.shiftright("h", HASH_BITS - RANGE_BITS).cast("int"))
     ends = (
         ranged.groupBy("source", "range").agg(F.sum("n_tokens").alias("n"))
         .withColumn("before", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n"))
