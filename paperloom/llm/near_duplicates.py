@@ -1,12 +1,11 @@
-"""Near-duplicates by signatures of a partitioned, enumerated feature domain.
+"""Near-duplicates by a prefix filter over a frequency order, in place of PartEnum.
 
-A record is the set of its word shingles. As in PartEnum, the domain is partitioned and from each set a few subsets are
-enumerated as signatures so that any two sets that are similar enough, of sizes that allow it, share one. Hashed parts of
-even size don't serve a threshold as low as 0.6 on texts of common phrases (README has the figures): small parts hold a
-single common shingle, shared by a large share of all records, and large ones need thousands of subsets. The domain is
-therefore ordered from rare to common and each set cut in two: if two sets of sizes a and b have a Jaccard similarity of
-t, they share ceil(t/(1+t) (a+b)) shingles, so the rarer parts of both, of a - ceil(ta) + 1 and b - ceil(tb) + 1
-shingles, meet. The enumerated subsets are the single shingles of the rarer part; no pair is lost.
+A record is the set of its word shingles. PartEnum, which partitions the domain by a hash and enumerates subsets of the
+parts as signatures, doesn't serve a threshold as low as 0.6 on texts of common phrases (README has the figures): small
+parts hold a single common shingle, shared by a large share of all records, and large ones need thousands of subsets. So
+the domain is ordered from rare to common, and a set's signatures are the single shingles of its rarer part: if two sets of
+sizes a and b have a Jaccard similarity of t, they share ceil(t/(1+t) (a+b)) shingles, so the rarer parts of both, of
+a - ceil(ta) + 1 and b - ceil(tb) + 1 shingles, meet. No pair is lost.
 
 Pairs that meet are tested by exact bounds before any set is moved: the sizes, and a bit per shingle folded by exclusive
 or into 256 bits, whose distance never exceeds that of the sets. What remains is compared set against set.
@@ -115,23 +114,25 @@ def similar_pairs(sets: DataFrame, threshold: Fraction) -> DataFrame:
     return both.where(F.col("common") * down >= (F.col("n_a") + F.col("n_b") - F.col("common")) * up).select("a", "b", "common", "n_a", "n_b")
 
 
-#: Words of 64 bits of the filter by which sets in no pair are left where they are: 512 KB, whatever the data's size.
-FILTER = 1 << 16
+#: Bits per set in a pair of the filter by which sets in no pair are left where they are; its most words of 64 bits (8 MB),
+#: beyond which it lets more of the others through, but loses none.
+FILTER_BITS, MOST_FILTER = 16, 1 << 20
 
 
 def _among(sets: DataFrame, reps: DataFrame) -> DataFrame:
     """The sets whose ``rep`` may be among ``reps``: all that are, and few others; narrow."""
+    size = min(MOST_FILTER, max(64, 1 << (FILTER_BITS * reps.count() // 64).bit_length()))
     h = F.xxhash64("rep")
-    bits = reps.select(F.pmod(F.shiftright(h, 6), F.lit(FILTER)).cast("int").alias("word"), F.expr("shiftleft(1L, cast(pmod(xxhash64(rep), 64) AS int))").alias("bit"))
-    rows = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most FILTER rows
-    table = np.zeros(FILTER, np.int64)
+    bits = reps.select(F.pmod(F.shiftright(h, 6), F.lit(size)).cast("int").alias("word"), F.expr("shiftleft(1L, cast(pmod(xxhash64(rep), 64) AS int))").alias("bit"))
+    rows = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most ``size`` rows
+    table = np.zeros(size, np.int64)
     table[rows["word"].to_numpy()] = rows["bits"].to_numpy()
     shared = sets.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h = np.asarray(batch.column("h"))
-            kept = (shared.value[(h >> 6) % FILTER] >> (h % 64)) & 1 == 1
+            kept = (shared.value[(h >> 6) % len(shared.value)] >> (h % 64)) & 1 == 1
             yield batch.filter(pa.array(kept)).select(["rep", "n", "shingles"])
 
     return sets.withColumn("h", h).mapInArrow(run, "rep bigint, n int, shingles array<bigint>")
