@@ -19,9 +19,12 @@ def per_key(df: DataFrame, key: Column, aggregates: dict[str, Column], name: str
 
 
 def heavy_keys(df: DataFrame, key: Column, share: float, name: str = "key") -> DataFrame:
-    """Keys that stand in at least ``share`` of all rows, null keys counted among all rows."""
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    """Keys that stand in at least ``share`` of all rows, null keys counted among all rows.
+
+    One scan: the total is the sum of the counts per key, whose exchange it reuses.
+    """
     counts = df.groupBy(key.alias(name)).agg(F.count(F.lit(1)).alias("rows"))
+    total = counts.agg(F.sum("rows").alias("n")).scalar()
     return counts.where(F.col(name).isNotNull() & (F.col("rows") >= F.lit(share) * total))
 
 

@@ -16,14 +16,14 @@ SAMPLE = 5
 # ---------------------------------------------------------------- references to missing records
 
 
-def _work_state(spark: SparkSession, d: str, *others: DataFrame) -> DataFrame:
+def _work_events(spark: SparkSession, d: str) -> DataFrame:
     works, deleted = table(spark, d, "works"), table(spark, d, "deleted_works")
-    keys = F.transform("referenced_works", work_key)
-    return orphans.fold(
-        orphans.record_deltas(works, work_key(F.col("id")), keys, F.col("updated_date")),
-        deleted.select(*orphans.deltas(work_key(F.col("work_id")), deleted=F.col("deleted_date"))).where(F.col("key").isNotNull()),
-        *others,
-    )
+    delivered = orphans.deliveries(works, work_key(F.col("id")), F.col("updated_date"), F.transform("referenced_works", work_key))
+    return delivered.unionByName(orphans.deletions(deleted, work_key(F.col("work_id")), F.col("deleted_date")))
+
+
+def _work_state(spark: SparkSession, d: str, *others: DataFrame) -> DataFrame:
+    return orphans.fold(orphans.deltas(_work_events(spark, d)), *others)
 
 
 def _references(spark: SparkSession, d: str) -> DataFrame:
@@ -41,6 +41,11 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return found.distinct()
 
 
+def p2_current(spark: SparkSession, d: str) -> DataFrame:
+    """Missing works that works refer to now, after all deliveries and deletions, and how many do."""
+    return orphans.orphan_keys(_work_state(spark, d)).select(F.col("key").alias("ref_id"), F.col("refs").alias("n_references"))
+
+
 def p2_report(spark: SparkSession, d: str) -> DataFrame:
     """Orphan references per table and month: works by delivery, papers by publication, documents by arrival."""
     papers = table(spark, d, "papers").select(
@@ -51,7 +56,7 @@ def p2_report(spark: SparkSession, d: str) -> DataFrame:
     )
     works = _references(spark, d).select(F.lit("works").alias("table"), "period", F.col("work_id").alias("source_id"), "ref_id")
     others = papers.unionByName(documents).where(F.col("ref_id").isNotNull())
-    state = _work_state(spark, d, others.select(*orphans.deltas(F.col("ref_id"), refs=1)))
+    state = _work_state(spark, d, orphans.mentions(others, F.col("ref_id")))
     found = orphans.orphan_references(works.unionByName(others), state, "ref_id", "source_id").distinct()
     by_ref = found.groupBy("table", "period", "ref_id").agg(F.count(F.lit(1)).alias("n"))
     return by_ref.groupBy("table", "period").agg(F.sum("n").alias("n_references"), F.count(F.lit(1)).alias("n_missing"))
@@ -75,6 +80,13 @@ refs AS (SELECT period, work_id, {_wkey('r')} AS ref_id FROM entries)"""
 P2_FOUND = _P2 + """
 SELECT DISTINCT period, work_id, ref_id FROM refs WHERE ref_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM alive WHERE alive.k = ref_id)"""
 
+P2_CURRENT = _P2 + f""",
+last AS (SELECT {_wkey('id')} AS k, max(updated_date) AS at FROM works GROUP BY 1),
+held AS (SELECT w.rid, w.k, unnest(w.referenced_works) AS r FROM (SELECT row_number() OVER () AS rid, {_wkey('id')} AS k, * FROM works) w LEFT JOIN last l ON w.k = l.k LEFT JOIN gone g ON w.k = g.k
+  WHERE w.k IS NULL OR (w.updated_date = l.at AND (g.at IS NULL OR l.at > g.at))),
+held_keys AS (SELECT DISTINCT coalesce(k, CAST(rid AS VARCHAR)) AS source, {_wkey('r')} AS ref_id FROM held)
+SELECT ref_id, count(*) AS n_references FROM held_keys WHERE ref_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM alive WHERE alive.k = ref_id) GROUP BY 1"""
+
 P2_REPORT = _P2 + f""",
 every AS (SELECT 'works' AS "table", period, work_id AS source_id, ref_id FROM refs
   UNION ALL SELECT 'papers', substr(publication_date, 1, 7), CAST(paper_id AS VARCHAR), {_wkey('work_id')} FROM papers
@@ -201,8 +213,8 @@ P5_TOPICS = " UNION ALL ".join(
     for child, path in [("topic", "primary_topic"), *((c, f"primary_topic.{c}") for c in ("subfield", "field", "domain"))]
 )
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_report, p4_found, p4_topics, p4_distinct, p4_sample, p5_found, p5_locations, p5_topics)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_current, p2_report, p4_found, p4_topics, p4_distinct, p4_sample, p5_found, p5_locations, p5_topics)}
 SQL = {
-    "p2_found": P2_FOUND, "p2_report": P2_REPORT, "p4_found": P4_FOUND, "p4_topics": P4_TOPICS, "p4_distinct": P4_DISTINCT, "p4_sample": P4_SAMPLE,
+    "p2_found": P2_FOUND, "p2_current": P2_CURRENT, "p2_report": P2_REPORT, "p4_found": P4_FOUND, "p4_topics": P4_TOPICS, "p4_distinct": P4_DISTINCT, "p4_sample": P4_SAMPLE,
     "p5_found": P5_FOUND, "p5_locations": P5_LOCATIONS, "p5_topics": P5_TOPICS,
 }

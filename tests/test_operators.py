@@ -24,17 +24,51 @@ def day(n):
 def test_orphans(spark):
     works = spark.createDataFrame([("A", ["B", "C", "X", "X", None], day(1)), ("B", None, day(2)), ("C", ["A"], day(3)), ("C", ["B"], day(9)), (None, ["Q"], day(4))], "id string, refs array<string>, at date")
     gone = spark.createDataFrame([("B", day(2)), ("C", day(5)), ("C", day(4)), ("Z", day(1))], "id string, at date")
-    first = orphans.record_deltas(works, F.col("id"), F.col("refs"), F.col("at"))
-    second = gone.select(*orphans.deltas(F.col("id"), deleted=F.col("at")))
-    state = orphans.fold(first, second)
-    assert {r.key for r in orphans.orphan_keys(state).collect()} == {"B", "X", "Q"}  # deleted on the day, never there; C came back
-    stepwise = orphans.fold(orphans.fold(second), orphans.fold(first))
-    assert sorted(stepwise.collect()) == sorted(state.collect())
+    events = orphans.deliveries(works, F.col("id"), F.col("at"), F.col("refs")).unionByName(orphans.deletions(gone, F.col("id"), F.col("at")))
+    state = orphans.fold(orphans.deltas(events))
+    assert {r.key: r.refs for r in orphans.orphan_keys(state).collect()} == {"B": 2, "X": 1, "Q": 1}  # deleted on the day, never there; C came back
+    named = events.where("key is not null")
+    assert sorted(orphans.fold(orphans.deltas(named.repartition(5).union(named))).collect()) == sorted(state.where("key <> 'Q'").collect())  # repeated rows
     refs = works.select("id", F.explode("refs").alias("r")).where("r is not null")
-    assert {(r.id, r.r) for r in orphans.orphan_references(refs, state, "r", "id").collect()} == {("A", "B"), ("A", "X"), ("C", "B"), (None, "Q")}
-    back = spark.createDataFrame([("B", day(7))], "id string, at date").select(*orphans.deltas(F.col("id"), deliveries=1, delivered=F.col("at")))
-    assert "B" not in {r.key for r in orphans.orphan_keys(orphans.fold(state, back)).collect()}
-    assert orphans.orphan_keys(orphans.fold(first.limit(0))).count() == 0
+    assert {(r.id, r.r) for r in orphans.orphan_references(refs, state, "r", "id", salted=1).collect()} == {("A", "B"), ("A", "X"), ("C", "B"), (None, "Q")}
+    assert orphans.orphan_keys(orphans.fold(orphans.deltas(events.limit(0)))).count() == 0
+
+
+def test_signed_deltas(spark):
+    one = lambda rows: spark.createDataFrame(rows, "id string, at date, present boolean, refs array<string>").withColumnRenamed("id", "key")
+    first = one([("A", day(1), True, ["X", "Y"]), ("B", day(1), True, ["X"])])
+    then = one([("A", day(5), True, ["Y", "Z"]), ("B", day(6), False, [])])
+    got = {(r.key, r.refs, r.existence) for r in orphans.deltas(then, orphans.last_events(first)).where("refs <> 0 OR existence <> 0").collect()}
+    assert got == {("X", -1, 0), ("Z", 1, 0), ("B", 0, -1)}
+    assert orphans.deltas(then, orphans.last_events(first)).where("key = 'X' AND refs = -1").count() == 2  # dropped by A, gone with B
+    late = one([("A", day(3), True, ["L"]), ("B", day(2), True, ["M"])])
+    state = orphans.fold(orphans.deltas(first), orphans.deltas(then, orphans.last_events(first)), orphans.deltas(late, orphans.last_events(then, orphans.last_events(first))))
+    assert {r.key: (r.refs, r.mentions > 0, r.existence) for r in state.collect()} == {"A": (0, False, 1), "B": (0, False, 0), "X": (0, True, 0), "Y": (1, True, 0), "Z": (1, True, 0), "L": (0, True, 0), "M": (0, True, 0)}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_orphans_batch_by_batch_equal_all_at_once(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    keys = [f"W{i}" for i in range(12)]
+    rows = [(rng.choice(keys), day(rng.randint(1, 20)), rng.random() < 0.8, rng.sample(keys + ["X", "Y"], rng.randint(0, 4))) for _ in range(80)]
+    rows = sorted(((k, at, there, refs if there else []) for k, at, there, refs in rows), key=lambda r: r[1])
+    frame_ = lambda part: spark.createDataFrame(part, "key string, at date, present boolean, refs array<string>")
+    cuts = sorted(rng.sample(range(1, 80), 3))
+    for a, b in zip([0, *cuts], [*cuts, 80], strict=True):  # batches part within days, too
+        state = orphans.update(frame_(rows[a:b]), str(tmp_path / "state"))
+    whole = orphans.fold(orphans.deltas(frame_(rows)))
+    assert {r.key: (r.refs, r.existence) for r in state.collect()} == {r.key: (r.refs, r.existence) for r in whole.collect()}
+    assert sorted(orphans.orphan_keys(state).collect()) == sorted(orphans.orphan_keys(whole).collect())
+    now = {}
+    for key, at, there, refs in rows:
+        before = now.get(key)
+        if before and before[0] == at and before[1] == there:
+            refs = [*before[2], *refs]
+        if not (before and before[0] == at and there and not before[1]):  # a deletion on the day counts as the later event
+            now[key] = (at, there, refs)
+    want = {k: sum(k in set(refs) for _, there, refs in now.values() if there) for k in keys + ["X", "Y"]}
+    got = {r.key: r.refs for r in state.collect()}
+    assert all(got.get(k, 0) == n for k, n in want.items())
 
 
 def test_keyed(spark):
