@@ -1,37 +1,40 @@
 """The topic hierarchy: lookup of exact paths, levels of a work, distinct topics.
 
-Defined results: names are compared case-folded on the driver (a catalog is small by nature) and lower-cased in plans; no
+Defined results: names are compared case-folded for one lookup and lower-cased in plans; no
 match or several is an error for a single lookup and no row in a join; missing levels are null in the lenient form.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LEVELS = ("domain", "field", "subfield", "topic")
-#: Greatest catalog that is looked up on the driver.
-MOST_TOPICS = 100_000
 
 
 class TopicError(LookupError):
     """No topic of a path, or several."""
 
 
-def _name(row, level: str) -> str | None:
-    part = row if level == "topic" else row[level]
-    return None if part is None else part["display_name"]
+@F.pandas_udf(T.StringType())
+def folded(names: pd.Series) -> pd.Series:
+    return names.str.casefold()
 
 
 def find_topic(catalog: DataFrame, config) -> dict:
-    """The only topic of the configuration's path, as ``{level: {id, display_name}}``."""
-    wanted = {level: getattr(config, level).casefold() for level in LEVELS}
-    near = catalog.where(F.lower("display_name") == F.lit(wanted["topic"]).cast("string")).limit(MOST_TOPICS).collect()
-    if not near:  # names that only case folding makes equal
-        near = catalog.limit(MOST_TOPICS).collect()
-    found = [r for r in near if all((_name(r, level) or "").casefold() == wanted[level] for level in LEVELS)]
-    if len({r["id"] for r in found}) != 1:
-        raise TopicError(f"{len(found)} topics have the path {' > '.join(getattr(config, level) for level in LEVELS)}")
+    """The only topic of the configuration's path, as ``{level: {id, display_name}}``.
+
+    Names are folded in Arrow batches, where Spark's lower case wouldn't do; only topics of the path come to the driver, and
+    of these no more than tell that there are several.
+    """
+    on = F.lit(True)
+    for level in LEVELS:
+        on &= folded(F.col("display_name" if level == "topic" else f"{level}.display_name")) == F.lit(getattr(config, level).casefold())
+    found = catalog.where(on).dropDuplicates(["id"]).limit(2).collect()
+    if len(found) != 1:
+        raise TopicError(f"{'several' if found else 'no'} topics have the path {' > '.join(getattr(config, level) for level in LEVELS)}")
     row = found[0]
     return {level: {"id": row[level]["id"], "display_name": row[level]["display_name"]} for level in LEVELS[:3]} | {"topic": {"id": row["id"], "display_name": row["display_name"]}}
 

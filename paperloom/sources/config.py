@@ -11,7 +11,6 @@ from typing import Any
 
 #: What a configuration may ask for.
 FIELDS = ("title", "abstract", "publication_date", "publication_venue")
-REQUIRABLE = ("title", "abstract")
 MOST_PAGE, API_CAP = 100, 10_000
 DATE = re.compile(r"^\d{4}-\d{2}-\d{2}$")
 
@@ -37,8 +36,8 @@ class FetchConfig:
     fields: tuple[str, ...]
     output_path: str
     per_page: int
-    require_english_text: bool = False
-    require_clean_text: bool = False
+    require_english_text: bool
+    require_clean_text: bool
     api_key: str | None = None
 
     def public(self) -> dict[str, Any]:
@@ -52,10 +51,10 @@ _TEXTS = ("from_publication_date", "work_type", "language", "domain", "field", "
 def make_config(values: dict[str, Any], *, api_key: str | None = None, most: int | None = API_CAP) -> FetchConfig:
     """A checked configuration from its values; ``most`` is the greatest count, None for no limit."""
     names = [f.name for f in fields(FetchConfig) if f.name not in ("api_key", "require_english_text", "require_clean_text")]
-    if missing := [n for n in names if n not in values and n not in ("to_publication_date", "sample_seed")]:
+    if missing := [n for n in names if n not in values]:
         raise ConfigError(f"missing config keys: {', '.join(missing)}")
     known = {f.name: values[f.name] for f in fields(FetchConfig) if f.name in values and f.name != "api_key"}
-    known = {"to_publication_date": None, "sample_seed": None} | known
+    known = {"require_english_text": known["language"] == "en", "require_clean_text": True} | known
     for name in ("fields", "required_fields"):
         if not isinstance(known[name], (list, tuple)) or not all(isinstance(x, str) for x in known[name]):
             raise ConfigError(f"{name} must be a list of strings")
@@ -71,7 +70,7 @@ def make_config(values: dict[str, Any], *, api_key: str | None = None, most: int
         (config.sample_seed is None or whole(config.sample_seed), "sample_seed must be a whole number"),
         (whole(config.per_page) and 1 <= config.per_page <= MOST_PAGE, f"per_page must be from 1 to {MOST_PAGE}"),
         (bool(config.fields) and set(config.fields) <= set(FIELDS), f"fields must be among {', '.join(FIELDS)}"),
-        (set(config.required_fields) <= set(REQUIRABLE), f"required_fields must be among {', '.join(REQUIRABLE)}"),
+        (set(config.required_fields) <= set(FIELDS), f"required_fields must be among {', '.join(FIELDS)}"),
         (set(config.required_fields) <= set(config.fields), "required_fields must be among fields"),
         (all(isinstance(x, bool) for x in (config.require_english_text, config.require_clean_text)), "require_ settings must be true or false"),
     ]

@@ -1,12 +1,17 @@
-"""A catalog's REST interface as a Spark data source; the fetching function can be put in its place.
+"""A catalog's REST interface: pages and cursors as a Spark data source, and requests that rows of a table ask for.
 
 ``spark.dataSource.register(CatalogSource)`` and ``spark.read.format("catalog")``: one partition per numbered page, or one
-for a cursor, which each answer leads on to. Pages are read by tasks; retries and waits are within a request.
+for a cursor, which each answer leads on to. ``ask`` sends one request per row of a table, in tasks. The fetching function
+can be put in its place; retries and waits are within a request.
+
+Defined results: an answer without a list of results is an error; results that aren't objects are kept as they are and count
+as skipped; with ``errors`` a request that fails is a row with its error, else it fails the job.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import time
 from collections.abc import Callable, Iterator
 from typing import Any
@@ -14,6 +19,8 @@ from urllib.error import HTTPError, URLError
 from urllib.parse import urlencode
 from urllib.request import Request, urlopen
 
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from .config import API_CAP
@@ -43,31 +50,99 @@ def fetch_once(url: str, params: dict[str, Any]) -> dict:
     return payload
 
 
-def wait_before(attempt: int, error: Exception) -> float:
-    """Seconds before the next attempt: as the server asks, else doubling. A server's wait that is too long is an error."""
-    if isinstance(error, HTTPError):
-        asked = error.headers.get("Retry-After") if error.headers else None
-        seconds = float(asked) if asked and asked.strip().isdigit() else FIRST_WAIT * 2**attempt
-        if seconds > LONGEST_WAIT:
+def asked_wait(error: HTTPError) -> float | None:
+    """Seconds that the server asks to wait, if it says so by a number."""
+    try:
+        seconds = float((error.headers or {}).get("Retry-After") or "nan")
+    except ValueError:
+        return None
+    return None if math.isnan(seconds) else max(0.0, seconds)
+
+
+class Patience:
+    """How long to wait after each failure in a row: doubling, unless the server says."""
+
+    def __init__(self, retries: int = RETRIES):
+        self.waits = [FIRST_WAIT * 2**n for n in reversed(range(retries))]
+
+    def after(self, error: OSError) -> float | None:
+        """Seconds before the next attempt; None if there should be none. A wait that is too long is an error."""
+        served = isinstance(error, HTTPError)
+        if not self.waits or (served and error.code not in RETRIED):
+            return None
+        usual = self.waits.pop()
+        if not served:
+            return min(usual, LONGEST_WAIT)
+        asked = asked_wait(error)
+        if (seconds := usual if asked is None else asked) > LONGEST_WAIT:
             raise CatalogError(f"the server asks to wait {seconds:.0f} s") from error
         return seconds
-    return min(LONGEST_WAIT, FIRST_WAIT * 2**attempt)
 
 
 def fetch(url: str, params: dict[str, Any], *, once: Callable[[str, dict], dict] = fetch_once, sleep: Callable[[float], None] = time.sleep, retries: int = RETRIES) -> dict:
-    """An answer, after as many attempts as it takes within ``retries``."""
-    for attempt in range(retries + 1):
+    """An answer, after as many attempts as patience allows."""
+    patience = Patience(retries)
+    while True:
         try:
             return once(url, params)
-        except HTTPError as e:
-            if e.code not in RETRIED or attempt == retries:
-                raise CatalogError(f"HTTP {e.code} from {shown_url(url, params)}") from e
-            sleep(wait_before(attempt, e))
-        except (URLError, TimeoutError) as e:
-            if attempt == retries:
-                raise CatalogError(f"no answer from {shown_url(url, params)}") from e
-            sleep(wait_before(attempt, e))
-    raise AssertionError("unreachable")
+        except (HTTPError, URLError, TimeoutError) as error:
+            if (seconds := patience.after(error)) is None:
+                what = f"HTTP {error.code}" if isinstance(error, HTTPError) else "no answer"
+                raise CatalogError(f"{what} from {shown_url(url, params)}") from error
+        sleep(seconds)
+
+
+def results_of(answer: Any) -> list:
+    results = answer.get("results") if isinstance(answer, dict) else None
+    if not isinstance(results, list):
+        raise CatalogError("an answer has no list of results")
+    return results
+
+
+def cursor_pages(url: str, params: dict[str, Any], fetcher: Callable[[str, dict], dict] = fetch) -> Iterator[list]:
+    """The results of each page in turn, as long as an answer has some and names the next."""
+    cursor = "*"
+    while cursor:
+        answer = fetcher(url, params | {"cursor": cursor})
+        results = results_of(answer)
+        yield results
+        following = (answer.get("meta") or {}).get("next_cursor")
+        cursor = following if results and isinstance(following, str) else None
+
+
+ANSWERS = "key string, page int, ord int, record string, total bigint, error string"
+
+
+def ask(requests: DataFrame, url: str, fetcher: Callable[[str, dict], dict] = fetch, *, errors: bool = False) -> DataFrame:
+    """The results of one request per row of (key, page, params map): rows ANSWERS in the order of each answer.
+
+    Every row costs a request, so they are few, and each goes to a task of its own as far as there are tasks. An answer
+    without results is one row without a record.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for key, page, params in zip(batch["key"], batch["page"], batch["params"], strict=True):
+                rows, error, total = [None], None, None
+                try:
+                    answer = fetcher(url, dict(params))
+                    rows = [json.dumps(r, ensure_ascii=False) for r in results_of(answer)] or rows
+                    total = (answer.get("meta") or {}).get("count")
+                except CatalogError as e:
+                    if not errors:
+                        raise
+                    error = str(e)
+                yield pd.DataFrame({"key": key, "page": page, "ord": range(len(rows)), "record": rows, "total": pd.array([total] * len(rows), "Int64"), "error": error})
+
+    spark = requests.sparkSession
+    return requests.repartition(spark.sparkContext.defaultParallelism, "key", "page").mapInPandas(run, ANSWERS)
+
+
+def select_list(fields: list[str], always: tuple[str, ...] = ()) -> str:
+    """The columns that the fields need, as the interface takes them."""
+    from ..operators.papers import selected_columns
+
+    return ",".join(selected_columns(fields, always))
 
 
 def work_filters(config, topic_id: str) -> str:
@@ -100,24 +175,16 @@ class CatalogReader(DataSourceReader):
 
     def read(self, partition: Page) -> Iterator[tuple]:
         if partition.number is not None:
-            yield from self._rows(partition.number, self._page({"page": partition.number, "sample": self.size}))
+            yield from self._rows(partition.number, results_of(self._page({"page": partition.number, "sample": self.size})))
             return
-        cursor, number = "*", 1
-        while cursor:
-            answer = self._page({"cursor": cursor})
-            rows = list(self._rows(number, answer))
-            yield from rows
-            cursor = (answer.get("meta") or {}).get("next_cursor") if rows else None
-            number += 1
+        for number, results in enumerate(cursor_pages(self.url, self.params | {"per_page": self.per_page}, self.fetcher), 1):
+            yield from self._rows(number, results)
 
     def _page(self, more: dict) -> dict:
         return self.fetcher(self.url, self.params | {"per_page": self.per_page} | more)
 
     @staticmethod
-    def _rows(number: int, answer: dict) -> Iterator[tuple]:
-        results = answer.get("results")
-        if not isinstance(results, list):
-            raise CatalogError("an answer has no list of results")
+    def _rows(number: int, results: list) -> Iterator[tuple]:
         for record in results:
             yield number, json.dumps(record, ensure_ascii=False)
 

@@ -1,24 +1,27 @@
 """Scraped journals and articles: HTML tables, JSON and CSV fixtures, with the fixture only where scraping fails.
 
 Result rows: journal, h5_index, h5_median, ord, title, year. Defined results: at most MOST_JOURNALS journals and
-MOST_ARTICLES articles of each, in the order given; an article without a title is an error in a fixture; a year that is no
-number is null.
+MOST_ARTICLES articles of each, in the order given; scraping that finds fewer is an error, as is an article without a title
+or journal in a fixture; a number that is none is null.
 """
 
 from __future__ import annotations
 
-import json
-import re
 from collections.abc import Callable
 from html.parser import HTMLParser
+from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.names import HEADER, VENUES, first_year, scraped_title_udf
+
 MOST_JOURNALS, MOST_ARTICLES = 5, 20
 ARTICLES = "journal string, h5_index int, h5_median int, ord int, title string, year int"
+#: What else stands at the head of a table of articles.
+HEADERS = (HEADER, "title", "article")
 
 
 class ScholarError(ValueError):
@@ -39,8 +42,8 @@ class _Rows(HTMLParser):
         elif tag in ("td", "th"):
             self.cell = {"text": "", "href": None}
             (self.rows or self.rows.append([]) or self.rows)[-1].append(self.cell)
-        elif tag == "a" and self.cell is not None and self.cell["href"] is None:
-            self.cell["href"] = dict(attrs).get("href")
+        elif tag == "a" and self.cell is not None:
+            self.cell["href"] = dict(attrs).get("href") or self.cell["href"]
 
     def handle_endtag(self, tag: str) -> None:
         if tag in ("td", "th", "tr"):
@@ -63,52 +66,61 @@ def table_rows(pages: pd.Series) -> pd.Series:
     return pages.map(rows_of)
 
 
-def top_journals(pages: DataFrame, html: str, names: list[str]) -> DataFrame:
+def top_journals(pages: DataFrame, html: str, names: tuple[str, ...] = VENUES) -> DataFrame:
     """(journal, h5_index, h5_median, href) of the rows that name one of the journals; the first two numbers count."""
     rows = pages.select(F.posexplode(table_rows(F.col(html))).alias("at", "row"))
     text = F.array_join(F.transform("row", lambda c: c["text"]), " ")
-    known = F.array(*(F.lit(n) for n in names))
-    journal = F.get(F.filter(known, lambda n: F.exists("row", lambda c: F.lower(c["text"]) == F.lower(n))), F.lit(0))
+    named = F.get(F.filter(F.array(*(F.lit(n) for n in names)), lambda n: F.contains(text, n)), F.lit(0))
     numbers = F.regexp_extract_all(text, F.lit(r"\b([0-9]{2,4})\b"), F.lit(1))
-    href = F.get(F.filter(F.transform("row", lambda c: c["href"]), lambda h: h.isNotNull()), F.lit(0))
-    found = rows.select("at", journal.alias("journal"), F.get(numbers, F.lit(0)).cast("int").alias("h5_index"), F.get(numbers, F.lit(1)).cast("int").alias("h5_median"), href.alias("href"))
+    links = F.filter(F.transform("row", lambda c: c["href"]), lambda h: h.isNotNull())
+    found = rows.select("at", named.alias("journal"), F.get(numbers, F.lit(0)).cast("int").alias("h5_index"), F.get(numbers, F.lit(1)).cast("int").alias("h5_median"), F.get(links, F.lit(0)).alias("href"))
     return found.where(F.col("journal").isNotNull()).orderBy("at").limit(MOST_JOURNALS).drop("at")
 
 
 def core_articles(pages: DataFrame, html: str, limit: int = MOST_ARTICLES) -> DataFrame:
-    """(ord, title, year): the first cell with text, and the first year in the others."""
-    rows = pages.select(F.posexplode(table_rows(F.col(html))).alias("at", "row"))
+    """(ord, title, year): the first cell with text, cleaned, and the first year in the others, if there is one."""
+    rows = pages.select(F.posexplode(table_rows(F.col(html))).alias("ord", "row"))
     cells = F.filter(F.transform("row", lambda c: c["text"]), lambda t: t != "")
-    year = F.regexp_extract(F.array_join(F.slice(cells, 2, 100), " "), r"\b((?:19|20)[0-9]{2})\b", 1)
-    found = rows.select("at", F.get(cells, F.lit(0)).alias("title"), F.nullif(year, F.lit("")).cast("int").alias("year")).where(F.col("title").isNotNull() & F.col("year").isNotNull())
-    return found.orderBy("at").limit(limit).select(F.col("at").alias("ord"), "title", "year")
+    rows = rows.select("ord", F.get(cells, F.lit(0)).alias("raw"), first_year(F.array_join(F.slice(cells, F.lit(2), F.greatest(F.size(cells), F.lit(1))), " ")).alias("year"))
+    found = rows.select("ord", scraped_title_udf("raw").alias("title"), "year").where(F.col("title") != "")
+    return found.where(~F.lower("title").isin(*HEADERS)).orderBy("ord").limit(limit)
 
 
-def _number(value) -> int | None:
-    try:
-        return None if value is None or isinstance(value, bool) else int(str(value).strip())
-    except ValueError:
-        return None
+def scrape(spark: SparkSession, url: str, fetch_page: Callable[[str], str], names: tuple[str, ...] = VENUES, journals: int = MOST_JOURNALS, articles: int = MOST_ARTICLES) -> DataFrame:
+    """The articles of the top journals, from the page at ``url`` and the pages it links to: no more than ``journals``."""
+    page = lambda at: spark.createDataFrame([(fetch_page(at),)], "html string")
+    top = top_journals(page(url), "html", names).collect()  # at most MOST_JOURNALS rows
+    if len(top) < journals:
+        raise ScholarError(f"only {len(top)} journals at {url}")
+    rows = []
+    for j in top[:journals]:
+        found = core_articles(page(urljoin(url, j.href)), "html", articles).collect() if j.href else []
+        if j.href and len(found) < articles:
+            raise ScholarError(f"only {len(found)} articles of {j.journal}")
+        rows += [(j.journal, j.h5_index, j.h5_median, i, r.title, r.year) for i, r in enumerate(found)]
+    return spark.createDataFrame(rows, ARTICLES)
+
+
+def _whole(c: Column) -> Column:
+    return F.when(F.trim(c).rlike("^[+-]?[0-9]{1,9}$"), F.trim(c).cast("int"))
+
+
+_JOURNAL = "name string, h5_index string, h5_median string, articles array<string>, papers array<string>"
 
 
 def read_json_fixture(spark: SparkSession, path: str) -> DataFrame:
     """``{"journals": [...]}`` or a bare list; articles under ``articles`` or ``papers``, as objects or titles."""
-    with open(path, encoding="utf-8") as file:
-        data = json.load(file)
-    journals = data.get("journals") if isinstance(data, dict) else data
-    if not isinstance(journals, list):
-        raise ScholarError("a fixture must have a list of journals")
-    rows = []
-    for journal in journals[:MOST_JOURNALS]:
-        name = journal.get("name") if isinstance(journal, dict) else None
-        if not isinstance(name, str) or not name.strip():
-            raise ScholarError("a journal needs a name")
-        for i, article in enumerate((journal.get("articles") or journal.get("papers") or [])[:MOST_ARTICLES]):
-            title, year = (article.get("title"), article.get("year")) if isinstance(article, dict) else (article, None)
-            if not isinstance(title, str) or not title.strip():
-                raise ScholarError(f"article {i + 1} of {name} needs a title")
-            rows.append((name.strip(), _number(journal.get("h5_index")), _number(journal.get("h5_median")), i, title.strip(), _number(year)))
-    return spark.createDataFrame(rows, ARTICLES)
+    text = spark.read.text(path, wholetext=True).select(F.trim("value").alias("v"))
+    journals = F.coalesce(F.from_json("v", "struct<journals array<string>>")["journals"], F.when(F.startswith("v", F.lit("[")), F.from_json("v", "array<string>")))
+    listed = text.select(journals.alias("js")).select(F.posexplode_outer(F.slice("js", 1, MOST_JOURNALS)).alias("place", "j"))
+    each = listed.select("place", F.from_json("j", _JOURNAL).alias("j")).select("place", "j.*")
+    papers = each.select("place", F.trim("name").alias("journal"), _whole(F.col("h5_index")).alias("h5_index"), _whole(F.col("h5_median")).alias("h5_median"), F.posexplode_outer(F.slice(F.coalesce("articles", "papers"), 1, MOST_ARTICLES)).alias("ord", "a"))
+    # An article is an object or its title.
+    parsed = F.when(F.startswith("a", F.lit("{")), F.from_json("a", "title string, year string")).otherwise(F.struct(F.col("a").alias("title"), F.lit(None).cast("string").alias("year")))
+    rows = papers.select("place", "journal", "h5_index", "h5_median", "ord", parsed.alias("p")).select("*", F.trim("p.title").alias("title"), _whole(F.col("p.year")).alias("year"))
+    if rows.where((F.coalesce("journal", F.lit("")) == "") | (F.col("ord").isNotNull() & (F.coalesce("title", F.lit("")) == ""))).limit(1).count():
+        raise ScholarError(f"{path} must list journals with a name, and articles with a title")
+    return rows.where(F.col("ord").isNotNull()).orderBy("place", "ord").select(*(c.split()[0] for c in ARTICLES.split(", ")))
 
 
 def read_csv_fixture(spark: SparkSession, path: str) -> DataFrame:
@@ -116,22 +128,27 @@ def read_csv_fixture(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.csv(path, header=True)
     names = {c.strip().lower(): c for c in raw.columns}
 
-    def first(*aliases: str):
+    def first(*aliases: str) -> Column:
         found = [F.nullif(F.trim(F.col(f"`{names[a]}`")), F.lit("")) for a in aliases if a in names]
         return F.coalesce(*found) if found else F.lit(None).cast("string")
 
-    whole = lambda c: F.when(c.rlike("^-?[0-9]{1,9}$"), c.cast("int"))
     rows = raw.withColumn("line", F.monotonically_increasing_id()).select(
-        "line", first("journal", "journal_name", "name").alias("journal"), first("title", "paper_title").alias("title"), whole(first("year")).alias("year"),
-        whole(first("h5_index")).alias("h5_index"), whole(first("h5_median")).alias("h5_median"),
+        "line", first("journal", "journal_name", "name").alias("journal"), first("title", "paper_title").alias("title"), _whole(first("year")).alias("year"),
+        _whole(first("h5_index")).alias("h5_index"), _whole(first("h5_median")).alias("h5_median"),
     )
-    grouped = rows.where(F.col("journal").isNotNull() & F.col("title").isNotNull()).groupBy("journal").agg(
+    if rows.where(F.col("journal").isNull() | F.col("title").isNull()).limit(1).count():
+        raise ScholarError(f"{path} has rows without journal or title")
+    grouped = rows.groupBy("journal").agg(
         F.min("line").alias("first"), F.min_by("h5_index", "line").alias("h5_index"), F.min_by("h5_median", "line").alias("h5_median"), F.array_sort(F.collect_list(F.struct("line", "title", "year"))).alias("articles")
     )
     top = grouped.orderBy("first").limit(MOST_JOURNALS)
     return top.select("journal", "h5_index", "h5_median", F.posexplode(F.slice("articles", 1, MOST_ARTICLES)).alias("ord", "a")).select("journal", "h5_index", "h5_median", "ord", F.col("a.title").alias("title"), F.col("a.year").alias("year"))
 
 
+def read_fixture(spark: SparkSession, path: str) -> DataFrame:
+    return (read_csv_fixture if path.lower().endswith(".csv") else read_json_fixture)(spark, path)
+
+
 def load(scrape: Callable[[], DataFrame], fixture: Callable[[], DataFrame] | None) -> tuple[DataFrame, str]:
     """The scraped input, or the fixture where scraping fails and there is one; and which it was."""
     try:
@@ -140,8 +157,3 @@ def load(scrape: Callable[[], DataFrame], fixture: Callable[[], DataFrame] | Non
         if fixture is None:
             raise
         return fixture(), "fixture"
-
-
-def year_of(text: str | None) -> int | None:
-    found = re.search(r"\b(?:19|20)\d{2}\b", text or "")
-    return int(found.group()) if found else None

@@ -169,9 +169,17 @@ def test_sampling(spark):
 
 
 def test_config(monkeypatch, tmp_path):
-    for bad in ({"count": 0}, {"count": True}, {"count": 20_000}, {"from_publication_date": "2024"}, {"fields": []}, {"fields": ["x"]}, {"required_fields": ["publication_date"]}, {"fields": ["title"]}, {"per_page": 101}, {"field_match": "any"}, {"sample_seed": "1"}, {"topic": " "}, {"require_clean_text": 1}):
+    for bad in ({"count": 0}, {"count": True}, {"count": 20_000}, {"from_publication_date": "2024"}, {"fields": []}, {"fields": ["x"]}, {"required_fields": ["doi"]}, {"fields": ["title"]}, {"per_page": 101}, {"field_match": "any"}, {"sample_seed": "1"}, {"topic": " "}, {"require_clean_text": 1}):
         with pytest.raises(ConfigError):
             config(**bad)
+    assert config(required_fields=["publication_date", "publication_venue"]).required_fields == ("publication_date", "publication_venue")
+    plain = {k: v for k, v in config().public().items() if not k.startswith("require_")}
+    for language, english in (("en", True), ("de", False)):
+        made = make_config(plain | {"language": language})
+        assert (made.require_english_text, made.require_clean_text) == (english, True)
+    for key in ("to_publication_date", "sample_seed"):
+        with pytest.raises(ConfigError, match=key):
+            make_config({k: v for k, v in config().public().items() if k != key})
     assert "api_key" not in config().public()
     env = tmp_path / ".env"
     env.write_text("K= 'file' \n")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from test_operators import config, frame, work
 
 from paperloom import cli, sinks
+from paperloom.functions import names
 from paperloom.plans import workflows
 from paperloom.sources import rest, scholar, snapshot
 from paperloom.streaming import builder
@@ -84,12 +85,27 @@ def test_scholar(spark, tmp_path):
         scholar.read_json_fixture(spark, str(fixture))
     table = tmp_path / "f.csv"
     table.write_text("journal_name,paper_title,year,h5_index\nB,t1,2001,5\nA,t2,x,\nB,t3,,9\n,t4,1,1\n")
+    with pytest.raises(scholar.ScholarError):
+        scholar.read_csv_fixture(spark, str(table))
+    table.write_text("journal_name,paper_title,year,h5_index\nB,t1,2001,5\nA,t2,x,\nB,t3,,9\n")
     assert [(r.journal, r.h5_index, r.ord, r.title, r.year) for r in scholar.read_csv_fixture(spark, str(table)).collect()] == [("B", 5, 0, "t1", 2001), ("B", 5, 1, "t3", None), ("A", None, 0, "t2", None)]
     boom = lambda: (_ for _ in ()).throw(OSError("no net"))
     assert scholar.load(boom, lambda: 1) == (1, "fixture") and scholar.load(lambda: 2, None) == (2, "scrape")
     with pytest.raises(OSError):
         scholar.load(boom, None)
-    assert scholar.year_of("x 2003") == 2003 and scholar.year_of(None) is None
+
+
+def test_scrape(spark):
+    journals = "".join(f"<tr><td>{i}.</td><td>{n} (online)</td><td><a href='/c/{i}'>{120 + i}</a></td><td>200</td></tr>" for i, n in enumerate(names.VENUES))
+    core = "<table><tr><th>Title / Author</th></tr>" + "".join(f"<tr><td>A finding of note number {i}A Smith, B Jones</td><td></td><td>{'' if i == 3 else 2000 + i}</td></tr>" for i in range(25)) + "</table>"
+    pages = {"http://x/top": f"<table>{journals}</table>"} | {f"http://x/c/{i}": core for i in range(5)}
+    rows = scholar.scrape(spark, "http://x/top", pages.__getitem__).collect()
+    assert len(rows) == 100 and tuple(rows[3]) == (names.VENUES[0], 120, 200, 3, "A finding of note number 3", None) and rows[4].year == 2004
+    for broken in ({"http://x/top": "<table></table>"}, {"http://x/c/2": "<table></table>"}):
+        with pytest.raises(scholar.ScholarError, match="only"):
+            scholar.scrape(spark, "http://x/top", (pages | broken).__getitem__)
+    got, how = scholar.load(lambda: scholar.scrape(spark, "http://x/top", lambda at: ""), lambda: "given")
+    assert (got, how) == ("given", "fixture")
 
 
 def make_snapshot(spark, root, n=24):
