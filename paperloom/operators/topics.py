@@ -7,10 +7,13 @@ match or several is an error for a single lookup and no row in a join; missing l
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.ids import last_segment
+from ..functions.names import safe_path_name
+
 LEVELS = ("domain", "field", "subfield", "topic")
 
 
@@ -81,3 +84,11 @@ def sorted_topics(catalog: DataFrame) -> DataFrame:
 def valid_topic() -> Column:
     """A topic whose own and upper names are all there."""
     return F.col("id").isNotNull() & F.col("display_name").isNotNull() & F.col("subfield.display_name").isNotNull() & F.col("field.display_name").isNotNull() & F.col("domain.display_name").isNotNull()
+
+
+def output_paths(catalog: DataFrame) -> DataFrame:
+    """``path``: subfield and name as parts of a path; where two are equal, all but the first by id carry their id."""
+    parts = catalog.withColumn("folder", safe_path_name(F.col("subfield.display_name"))).withColumn("name", safe_path_name(F.col("display_name")))
+    numbered = parts.withColumn("n", F.row_number().over(Window.partitionBy("folder", "name").orderBy("id")))
+    name = F.when(F.col("n") > 1, F.concat("name", F.lit(" ("), safe_path_name(last_segment(F.col("id"))), F.lit(")"))).otherwise(F.col("name"))
+    return numbered.withColumn("path", F.concat("folder", F.lit("/"), name)).drop("folder", "name", "n")

@@ -126,10 +126,7 @@ def ids(spark: SparkSession, d: str) -> DataFrame:
 
 def topic_paths(spark: SparkSession, d: str) -> DataFrame:
     """File names of the catalog's topics; where two share a name, all but the first carry their id."""
-    base = table(spark, d, "topics").select("id", names.safe_path_name(F.col("display_name")).alias("name"), F.col("subfield.display_name").alias("subfield"), names.slug_column(F.col("display_name")).alias("slug"))
-    w = Window.partitionBy("subfield", "name").orderBy("id")
-    numbered = base.withColumn("n", F.row_number().over(w))
-    return numbered.select("id", "slug", F.when(F.col("n") > 1, F.concat("name", F.lit(" ("), topic_key(F.col("id")), F.lit(")"))).otherwise(F.col("name")).alias("path"))
+    return topics.output_paths(table(spark, d, "topics")).select("id", names.slug_column(F.col("display_name")).alias("slug"), "path")
 
 
 # ---------------------------------------------------------------- joins
@@ -304,7 +301,7 @@ CAST(publication_date AS VARCHAR) AS published, CAST(make_date(CAST(year(publica
     "topic_paths": f"""WITH b AS (SELECT id, subfield.display_name AS sub, regexp_replace(trim(regexp_replace(regexp_replace(display_name, '[/\\\\]+', '_', 'g'), '\\s+', ' ', 'g')), '\\.+$', '') AS name,
   trim(regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(lower(display_name), '[^a-z0-9]+', ' ', 'g'), '\\b(the|an|a)\\b', ' ', 'g'), ' +', ' ', 'g')), ' ', '-', 'g'), '-') AS slug FROM topics),
 n AS (SELECT *, row_number() OVER (PARTITION BY sub, name ORDER BY id) AS n FROM b)
-SELECT id, trim(substr(slug, 1, 80), '-') AS slug, CASE WHEN n > 1 THEN name || ' (' || {_tkey('id')} || ')' ELSE name END AS path FROM n""",
+SELECT id, trim(substr(slug, 1, 80), '-') AS slug, sub || '/' || CASE WHEN n > 1 THEN name || ' (' || {_tkey('id')} || ')' ELSE name END AS path FROM n""",
     "config_topics": """WITH p AS (SELECT lower(domain.display_name) AS d, lower(field.display_name) AS f, lower(subfield.display_name) AS s, lower(display_name) AS t, min(id) AS topic_id FROM topics GROUP BY 1, 2, 3, 4 HAVING count(DISTINCT id) = 1)
 SELECT config_id, topic_id FROM fetch_configs c JOIN p ON lower(c.domain) = d AND lower(c.field) = f AND lower(c.subfield) = s AND lower(c.topic) = t""",
     "catalog": f"""WITH t AS (SELECT {_tkey('primary_topic.id')} AS topic_id, primary_topic AS p FROM works)

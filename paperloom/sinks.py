@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+from collections.abc import Iterable
 from datetime import datetime, timezone
 from pathlib import Path
 from typing import Any
@@ -32,17 +33,35 @@ def write_json_atomic(path: str | Path, payload: Any) -> None:
     os.replace(beside, path)
 
 
-def write_sample(path: str | Path, papers: DataFrame, config, hierarchy: dict | None, query: dict) -> dict:
+def now() -> str:
+    return datetime.now(timezone.utc).isoformat()
+
+
+def sample_document(papers: list[dict], config, hierarchy: dict | None, query: dict, source: str = "works snapshot") -> dict:
     """The document of one sample: a count of papers that the configuration bounds, and how they were found."""
-    rows = [row.asDict(recursive=True) for row in papers.toLocalIterator()]
-    document = {
-        "metadata": {"generated_at": datetime.now(timezone.utc).isoformat(), "source": "works snapshot", "config": config.public(), "resolved_topic_hierarchy": hierarchy, "query": query},
-        "papers": rows,
-    }
+    return {"metadata": {"generated_at": now(), "source": source, "config": config.public(), "resolved_topic_hierarchy": hierarchy, "query": query}, "papers": papers}
+
+
+def write_sample(path: str | Path, papers: DataFrame, config, hierarchy: dict | None, query: dict) -> dict:
+    document = sample_document([row.asDict(recursive=True) for row in papers.toLocalIterator()], config, hierarchy, query)
     write_json(path, document)
     return document
 
 
+def write_parents(out: str | Path, parents: dict[str, dict], slugs: dict[str, str], *lists: Iterable[tuple[str, list[dict]]]) -> None:
+    """A folder for each parent with its record, earlier papers and references. ``lists`` give (key, papers) of one parent
+    after the other, so one parent's papers are in memory at a time; ``slugs`` name the keys' folders."""
+    for slug, record in parents.items():
+        write_json(Path(out) / slug / f"{slug}.json", record)
+    for kind, given in zip(("papers_before", "references"), lists, strict=True):
+        missing = dict(slugs)
+        for key, papers in given:
+            slug = missing.pop(key)
+            write_json(Path(out) / slug / f"{kind}_{slug}.json", papers)
+        for slug in missing.values():
+            write_json(Path(out) / slug / f"{kind}_{slug}.json", [])
+
+
 def write_topic_partitions(works: DataFrame, path: str, topic_id: str = "topic_id", *, compression: str = "zstd", mode: str = "overwrite") -> None:
     """One folder per topic, rows by date and id. A topic is split over tasks by month, so a hot one isn't one task's."""
     spread = F.pmod(F.xxhash64(F.date_trunc("month", F.col("publication_date"))), F.lit(16))

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from .config import API_CAP
+from .config import API_CAP, MOST_PAGE  # noqa: F401
 
 #: Seconds a request may take, and how failed ones are repeated.
 TIMEOUT, RETRIES, FIRST_WAIT, LONGEST_WAIT = 60, 6, 5.0, 60.0
