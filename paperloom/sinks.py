@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
 from collections.abc import Iterable
 from datetime import datetime, timezone
 from pathlib import Path
@@ -12,6 +11,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import files
 from .functions.ids import bucket_of
 
 #: Buckets by topic while staging, and of the index by id.
@@ -19,18 +19,12 @@ TOPIC_BUCKETS, ID_BUCKETS = 64, 4096
 
 
 def write_json(path: str | Path, payload: Any) -> None:
-    path = Path(path)
-    path.parent.mkdir(parents=True, exist_ok=True)
-    path.write_text(json.dumps(payload, indent=2, ensure_ascii=False) + "\n", encoding="utf-8")
+    files.write_text(path, json.dumps(payload, indent=2, ensure_ascii=False) + "\n")
 
 
 def write_json_atomic(path: str | Path, payload: Any) -> None:
-    """Whoever reads the path sees the old document or the new one."""
-    path = Path(path)
-    path.parent.mkdir(parents=True, exist_ok=True)
-    beside = path.with_name(path.name + ".tmp")
-    beside.write_text(json.dumps(payload, indent=2, ensure_ascii=False, sort_keys=True) + "\n", encoding="utf-8")
-    os.replace(beside, path)
+    """With keys in order: what is compared later."""
+    files.write_text(path, json.dumps(payload, indent=2, ensure_ascii=False, sort_keys=True) + "\n")
 
 
 def now() -> str:
@@ -63,10 +57,12 @@ def write_parents(out: str | Path, parents: dict[str, dict], slugs: dict[str, st
 
 
 def write_topic_partitions(works: DataFrame, path: str, topic_id: str = "topic_id", *, compression: str = "zstd", mode: str = "overwrite") -> None:
-    """One folder per topic, rows by date and id. A topic is split over tasks by month, so a hot one isn't one task's."""
-    spread = F.pmod(F.xxhash64(F.date_trunc("month", F.col("publication_date"))), F.lit(16))
-    sorted_ = works.repartition(F.col(topic_id), spread).sortWithinPartitions(topic_id, "publication_date", "id")
-    sorted_.write.mode(mode).option("compression", compression).partitionBy(topic_id).parquet(path)
+    """One folder per topic, rows by date and id. Only the topics that ``works`` has are overwritten.
+
+    Partitions are rebalanced by topic: adaptive execution splits those of hot topics by their size, so none is one task's.
+    """
+    rows = works.hint("rebalance", topic_id).sortWithinPartitions(topic_id, "publication_date", "id")
+    rows.write.mode(mode).option("compression", compression).option("partitionOverwriteMode", "dynamic").partitionBy(topic_id).parquet(path)
 
 
 def write_id_index(works: DataFrame, path: str, *, buckets: int = ID_BUCKETS, compression: str = "zstd") -> None:

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import files
 from ..functions.ids import bucket_of
 from ..sinks import ID_BUCKETS
 
 
-
 def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
@@ -37,13 +37,12 @@ class SnapshotError(ValueError):
 
 def validate(path: str | Path) -> dict:
     """The manifest of a snapshot of works in Parquet, with its layout filled in."""
-    root = Path(path)
-    if not root.is_dir():
-        raise SnapshotError(f"{root} is no folder")
+    if not files.is_folder(path):
+        raise SnapshotError(f"{path} is no folder")
     try:
-        manifest = json.loads((root / "manifest.json").read_text(encoding="utf-8"))
+        manifest = json.loads(files.read_text(f"{path}/manifest.json"))
     except (OSError, ValueError) as e:
-        raise SnapshotError(f"no readable manifest in {root}: {e}") from e
+        raise SnapshotError(f"no readable manifest in {path}: {e}") from e
     if not isinstance(manifest, dict):
         raise SnapshotError("a manifest must be a JSON object")
     whole = lambda x: isinstance(x, int) and not isinstance(x, bool) and x >= 0
@@ -60,19 +59,18 @@ def validate(path: str | Path) -> dict:
 
 def inventory(path: str | Path) -> list[str]:
     """The snapshot's files in order; their number must be that of the manifest's list, if it has one."""
-    root = Path(path)
-    files = sorted(str(p.relative_to(root)) for p in root.glob("updated_date=*/*.parquet"))
-    listed = validate(root).get("files")
-    if not files:
+    found = files.names(path, "updated_date=*/*.parquet")
+    listed = validate(path).get("files")
+    if not found:
         raise SnapshotError("the snapshot has no files")
-    if isinstance(listed, list) and len(listed) != len(files):
-        raise SnapshotError(f"the manifest lists {len(listed)} files, {len(files)} are there")
-    return files
+    if isinstance(listed, list) and len(listed) != len(found):
+        raise SnapshotError(f"the manifest lists {len(listed)} files, {len(found)} are there")
+    return found
 
 
 def read_updates(spark: SparkSession, path: str | Path) -> DataFrame:
     """All deliveries; the folder's date is no column of a work."""
-    return spark.read.schema(WORKS).parquet(*[str(p) for p in sorted(Path(path).glob("updated_date=*"))])
+    return spark.read.schema(WORKS).parquet(*[f"{path}/{folder}" for folder in files.names(path, "updated_date=*")])
 
 
 def read_topic(spark: SparkSession, path: str | Path, topic_id: str) -> DataFrame:
@@ -87,7 +85,7 @@ def read_topic(spark: SparkSession, path: str | Path, topic_id: str) -> DataFram
 
 
 def read_catalog(spark: SparkSession, path: str | Path) -> DataFrame:
-    topics = json.loads((Path(path) / "topics.json").read_text(encoding="utf-8"))["topics"]
+    topics = json.loads(files.read_text(f"{path}/topics.json"))["topics"]
     return spark.createDataFrame(topics, TOPIC)
 
 

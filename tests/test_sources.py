@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_operators import config, frame, work
 
-from paperloom import cli, sinks
+from paperloom import cli, files, sinks
 from paperloom.functions import names
 from paperloom.plans import workflows
 from paperloom.sources import rest, scholar, snapshot
@@ -116,7 +116,7 @@ def make_snapshot(spark, root, n=24):
     (root / "manifest.json").write_text(json.dumps({"date": "2026-01-03", "format": "parquet", "entity": "works", "record_count": n + 3}))
 
 
-def test_snapshot_and_build(spark, tmp_path):
+def test_snapshot_and_build(spark, tmp_path, monkeypatch):
     source, out = tmp_path / "in", tmp_path / "out"
     source.mkdir()
     make_snapshot(spark, source)
@@ -125,7 +125,23 @@ def test_snapshot_and_build(spark, tmp_path):
     assert state["phase"] == "compacting"
     with pytest.raises(builder.BuildError, match="files_per_batch"):
         builder.build(spark, source, out, files_per_batch=2, topic_buckets=4, id_buckets=8)
-    manifest = builder.build(spark, source, out, files_per_batch=1, topic_buckets=4, id_buckets=8)
+    work_ = str(out / "_build")
+    every = builder.buckets(work_)
+    real, done = builder.write_topic_partitions, []
+
+    def breaks(*a, **k):
+        if len(done) == 1:
+            raise OSError("lost")
+        real(*a, **k)
+        done.append(1)
+
+    monkeypatch.setattr(builder, "write_topic_partitions", breaks)
+    with pytest.raises(OSError, match="lost"):
+        builder.build(spark, source, out, files_per_batch=1, topic_buckets=4, id_buckets=8, buckets_at_once=1)
+    assert len(builder.completed(work_)) == 1 and builder.buckets(work_) == every and len(every) > 1
+    monkeypatch.setattr(builder, "write_topic_partitions", real)
+    manifest = builder.build(spark, source, out, files_per_batch=1, topic_buckets=4, id_buckets=8, buckets_at_once=1)
+    assert not list((out / "_build" / "staged").glob("batch=*/topic_bucket=*")) and sum(builder.completed(work_).values()) == 24
     assert manifest["record_count"] == 24 and manifest["topic_count"] == 3
     assert builder.build(spark, source, out, files_per_batch=1, topic_buckets=4, id_buckets=8) == manifest
     assert snapshot.validate(out)["layout"] == "primary_topic"
@@ -161,6 +177,17 @@ def test_snapshot_rejects(tmp_path, change):
         snapshot.validate(tmp_path)
 
 
+def test_files_through_hadoop(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "_local", lambda path: None)
+    at = f"file://{tmp_path}/x"
+    assert not files.exists(at) and not files.is_folder(at)
+    files.write_text(f"{at}/a=1/m.json", "é")
+    files.write_text(f"{at}/a=1/m.json", "ü")
+    assert files.read_text(f"{at}/a=1/m.json") == "ü" and files.names(at, "a=*/*.json") == ["a=1/m.json"] and files.is_folder(at)
+    files.remove(at)
+    assert files.names(at, "*") == [] and not files.exists(at)
+
+
 def test_sinks_and_cli(tmp_path, capsys):
     sinks.write_json_atomic(tmp_path / "a" / "x.json", {"é": 1})
     assert json.loads((tmp_path / "a" / "x.json").read_text()) == {"é": 1} and not (tmp_path / "a" / "x.json.tmp").exists()
