@@ -58,17 +58,21 @@ def read_text(path: str | Path) -> str:
 
 
 def write_text(path: str | Path, text: str) -> None:
+    write_bytes(path, text.encode("utf-8"))
+
+
+def write_bytes(path: str | Path, data: bytes) -> None:
     """Written beside the place, then moved there."""
     local = _local(path)
     if local is not None:
         local.parent.mkdir(parents=True, exist_ok=True)
         beside = local.with_name(local.name + ".tmp")
-        beside.write_text(text, encoding="utf-8")
+        beside.write_bytes(data)
         os.replace(beside, local)
         return
     h, beside = _Hadoop(str(path)), _Hadoop(f"{path}.tmp")
     stream = h.fs.create(beside.at, True)
-    stream.write(bytearray(text.encode("utf-8")))
+    stream.write(bytearray(data))
     stream.close()
     h.fs.delete(h.at, False)
     h.fs.rename(beside.at, h.at)

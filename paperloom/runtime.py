@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import files
+
 #: Settings of a session of our own; a cluster's session is used as it comes.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -29,6 +35,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
     return session
 
 
+def cluster_session(master: str, **conf: str) -> SparkSession:
+    """A session on a cluster, whose executors get the package."""
+    session = SparkSession.builder.master(master).appName("paperloom").config(map=DEFAULTS | conf).getOrCreate()
+    ship(session)
+    return session
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder, as spark.checkpoint.dir names it.
 
@@ -105,3 +118,14 @@ def store(state: DataFrame, path: str) -> DataFrame:
     at = f"{path.rstrip('/')}/{number:08d}"
     state.write.mode("overwrite").parquet(at)  # over what a run that broke off may have left
     return spark.read.schema(state.schema).parquet(at)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to all executors by way of the shared folder, so that workers find it wherever they are started."""
+    root, data = Path(__file__).resolve().parent, io.BytesIO()
+    with zipfile.ZipFile(data, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.writestr(zipfile.ZipInfo(f"paperloom/{file.relative_to(root)}"), file.read_bytes())
+    archive = f"{shared_folder(spark)}/paperloom-{hashlib.sha256(data.getvalue()).hexdigest()[:16]}.zip"
+    files.write_bytes(archive, data.getvalue())
+    spark.sparkContext.addPyFile(archive)

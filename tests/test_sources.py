@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_operators import config, frame, work
 
-from paperloom import cli, files, sinks
+from paperloom import cli, files, runtime, sinks
 from paperloom.functions import names
 from paperloom.plans import workflows
 from paperloom.sources import rest, scholar, snapshot
@@ -166,7 +166,7 @@ def test_snapshot_and_build(spark, tmp_path, monkeypatch):
     articles = spark.createDataFrame([(1, "Raw & Co", "Paper 7", 2024), (2, "Raw & Co", "", 2024)], "article_id int, journal string, title string, year int")
     statuses, manifest = workflows.scholar_run(articles, spark.read.parquet(str(out / "data")), str(tmp_path / "scholar"), count=4)
     assert {r.article_id: (r.status, r.work_id, r.slug) for r in statuses.collect()} == {1: ("resolved", "W7", "paper-7"), 2: ("unresolved", None, None)}
-    assert manifest["references"] == {"requested": 1, "found": 1, "missing": 0} and spark.read.parquet(str(tmp_path / "scholar/papers_before")).count() == 2
+    assert manifest["references"] == {"requested": 1, "found": 1, "accepted": 1, "skipped": 0, "missing": 0} and spark.read.parquet(str(tmp_path / "scholar/papers_before")).count() == 2
 
 
 @pytest.mark.parametrize("change", [{"format": "json"}, {"entity": "x"}, {"record_count": "1"}, {"layout": "z"}, {"date": ""}, None])
@@ -188,8 +188,42 @@ def test_files_through_hadoop(spark, tmp_path, monkeypatch):
     assert files.names(at, "*") == [] and not files.exists(at)
 
 
+def test_ship(spark, monkeypatch):
+    import zipfile
+
+    sent = []
+    monkeypatch.setattr(type(spark.sparkContext), "addPyFile", lambda self, path: sent.append(path))
+    runtime.ship(spark)
+    with zipfile.ZipFile(sent[0].removeprefix("file:")) as archive:
+        assert {"paperloom/__init__.py", "paperloom/operators/keyed.py"} <= set(archive.namelist())
+
+
+def test_cli_runs(spark, tmp_path, monkeypatch, capsys):
+    from test_rest_runs import URL, catalog
+
+    monkeypatch.setattr(cli, "session", lambda args: spark)
+    source = tmp_path / "in"
+    source.mkdir()
+    make_snapshot(spark, source)
+    out, fixture = str(tmp_path / "out"), tmp_path / "f.json"
+    fixture.write_text(json.dumps([{"name": "Raw & Co", "articles": [{"title": "Paper 7", "year": 2024}, "Paper 7"]}]))
+    c = tmp_path / "c.json"
+    c.write_text(json.dumps(config(domain="D", field="F", subfield="S", topic="topic1", count=3, output_path=str(tmp_path / "s.json")).public()))
+    runs = [
+        ["build", str(source), out, "--files-per-batch", "2"], ["sample", "--config", str(c), "--snapshot", out, "--count", "2"], ["topics", "--snapshot", out, str(tmp_path / "t"), "--count", "2"],
+        ["scholar", str(tmp_path / "a"), "--fixture", str(fixture), "--snapshot", out, "--count", "3"], ["scholar", str(tmp_path / "b"), "--scrape", "http://x", "--fixture", str(fixture), "--url", URL, "--count", "1"],
+        ["topics", "--url", URL, "--field-name", "Medicine", str(tmp_path / "u"), "--count", "2", "--seed", "1"],
+    ]
+    for run in runs:
+        assert cli.main(run, fetcher=catalog(), fetch_page=lambda url: "") == 0, capsys.readouterr().err
+    folders = [p.name for p in sorted((tmp_path / "a").glob("paper-7*"))]
+    assert folders == ["paper-7", "paper-7-2"] and (tmp_path / "a/paper-7-2/papers_before_paper-7-2.json").exists()
+    assert json.loads((tmp_path / "b/manifest.json").read_text())["scrape_failures"] and json.loads((tmp_path / "t/_manifest.json").read_text())["papers"] > 0
+
+
 def test_sinks_and_cli(tmp_path, capsys):
     sinks.write_json_atomic(tmp_path / "a" / "x.json", {"é": 1})
     assert json.loads((tmp_path / "a" / "x.json").read_text()) == {"é": 1} and not (tmp_path / "a" / "x.json.tmp").exists()
     assert cli.parser().parse_args(["build", "a", "b"]).files_per_batch == 32
-    assert cli.main(["sample", "--config", str(tmp_path / "none"), "--snapshot", "x"]) == 1 and "error" in capsys.readouterr().err
+    for wrong in (["sample", "--config", str(tmp_path / "none"), "--snapshot", "x"], ["sample", "--config", "c"], ["topics", "--snapshot", "x", "y", "--count", "0"], ["scholar", "x", "--snapshot", "y"], ["scholar", "x", "--url", "u", "--fixture", "f", "--per-page", "101"]):
+        assert cli.main(wrong) == 1 and "error" in capsys.readouterr().err
