@@ -146,6 +146,17 @@ n AS (SELECT paper_id, count(*) AS n FROM s GROUP BY 1),
 j AS (SELECT x.paper_id AS paper_a, y.paper_id AS paper_b, count(*) AS k FROM s x JOIN s y ON x.a = y.a AND x.b = y.b AND x.c = y.c AND x.paper_id < y.paper_id GROUP BY 1, 2)
 SELECT paper_a, paper_b FROM j JOIN n na ON na.paper_id = paper_a JOIN n nb ON nb.paper_id = paper_b WHERE 5 * k >= 3 * (na.n + nb.n - k)"""
 
+#: Classes of equal sets, links between classes, and the least paper that a class is linked with by any chain.
+P7_GROUPS = P7_FOUND.replace("WITH w AS", "WITH RECURSIVE w AS").rpartition("SELECT paper_a")[0].rstrip().replace(
+    "j AS (SELECT x.paper_id", "c AS (SELECT paper_id, md5(string_agg(a || ' ' || b || ' ' || c, '|' ORDER BY a, b, c)) AS m FROM s GROUP BY 1),\nk AS (SELECT paper_id, min(paper_id) OVER (PARTITION BY m) AS rep FROM c),\nj AS (SELECT x.paper_id"
+) + """,
+e AS (SELECT paper_a AS a, paper_b AS b FROM j JOIN n na ON na.paper_id = paper_a JOIN n nb ON nb.paper_id = paper_b WHERE 5 * k >= 3 * (na.n + nb.n - k) AND paper_a IN (SELECT rep FROM k) AND paper_b IN (SELECT rep FROM k)),
+both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach AS (SELECT DISTINCT a AS x, a AS y FROM both_ways UNION SELECT r.x, t.b FROM reach r JOIN both_ways t ON r.y = t.a),
+g AS (SELECT x AS rep, min(y) AS grp FROM reach GROUP BY 1),
+l AS (SELECT a AS rep, count(*) AS links FROM both_ways GROUP BY 1)
+SELECT paper_id, coalesce(grp, rep, paper_id) AS group_id, coalesce(rep, paper_id) AS class_id, coalesce(links, 0) AS n_links FROM papers LEFT JOIN k USING (paper_id) LEFT JOIN g USING (rep) LEFT JOIN l USING (rep)"""
+
 # ---------------------------------------------------------------- token ids
 
 
@@ -180,4 +191,4 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_links, p3_sample, p6_found, p6_languages, p6_segments, p7_found, p7_groups, p8_ids, p9_mix, p9_shares, p10_found)}
-SQL = {"p3_sample": P3_SAMPLE, "p7_found": P7_FOUND}
+SQL = {"p3_sample": P3_SAMPLE, "p7_found": P7_FOUND, "p7_groups": P7_GROUPS}
