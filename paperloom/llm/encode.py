@@ -47,7 +47,7 @@ class ByteBpe:
         self.splits = regex.compile(PATTERN)
         self.long, self.leaf, self.window = long, leaf, window
         runs = (r"\p{L}", r"\p{N}", r"[^\s\p{L}\p{N}]", r"\s")
-        self.runs, self.ascii_runs = (regex.compile("|".join(f"{x}{{{least},}}" for x in runs)) for least in (max(1, leaf // 4), leaf))
+        self.runs = regex.compile("|".join(f"{x}{{{max(1, leaf // 4)},}}" for x in runs))  # a code point has four bytes at most
         self.pool = ThreadPoolExecutor(THREADS)
 
     def encode(self, text: str | None) -> list[int]:
@@ -58,9 +58,16 @@ class ByteBpe:
         return self._long(text)
 
     def unsplit(self, text: str) -> bool:
-        """Whether a piece may be longer than a leaf; a space may stand before its run, and a code point has up to four bytes."""
-        if text.isascii():
-            return self.ascii_runs.search(text) is not None
+        """Whether a piece may be longer than a leaf: a run of one kind of characters, before which a space may stand.
+
+        What stands between white space bounds such runs, as does all white space beyond one byte a gap; only where that
+        leaves room are the runs looked for.
+        """
+        words = text.split()
+        white = len(text) - sum(map(len, words)) - len(words) + 1  # in the largest gap at most
+        largest = max(map(len, text.encode().split()), default=0)
+        if largest < self.leaf and 4 * white < self.leaf:
+            return False
         return any(len(found.group().encode()) >= self.leaf for found in self.runs.finditer(text))
 
     def _long(self, text: str) -> list[int]:
