@@ -10,7 +10,7 @@ from urllib.request import Request, urlopen
 
 from .functions.ids import topic_key
 from .plans import rest_runs, workflows
-from .runtime import cluster_session, local_session
+from .runtime import clear, cluster_session, local_session
 from .sources import rest, scholar, snapshot
 from .sources.config import api_key, load_config
 from .streaming.builder import build
@@ -77,7 +77,7 @@ def session(args: argparse.Namespace):
 def main(argv: list[str] | None = None, *, fetcher=rest.fetch, fetch_page=_page) -> int:
     from pyspark.sql import functions as F
 
-    args = parser().parse_args(argv)
+    args, spark = parser().parse_args(argv), None
     try:
         for name in ("count", "files_per_batch", "buckets_at_once"):
             if getattr(args, name, None) is not None and getattr(args, name) <= 0:
@@ -125,6 +125,9 @@ def main(argv: list[str] | None = None, *, fetcher=rest.fetch, fetch_page=_page)
     except (ValueError, LookupError, RuntimeError, OSError) as e:
         print(f"error: {e}", file=sys.stderr)
         return 1
+    finally:
+        if spark is not None:
+            clear(spark)
     print(json.dumps(result, ensure_ascii=False, default=str))
     return 0
 

@@ -24,9 +24,9 @@ class _Hadoop:
 
 def _local(path: str | Path) -> Path | None:
     text = str(path)
-    if text.startswith("file://"):
-        text = text[7:]
-    return None if "://" in text or text.startswith("hdfs:") else Path(text)
+    if text.startswith("file:"):
+        text = "/" + text[5:].lstrip("/")
+    return None if "://" in text else Path(text)
 
 
 def exists(path: str | Path) -> bool:

@@ -72,6 +72,10 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
+#: Settled tables by application.
+_SETTLED: dict[str, list[str]] = {}
+
+
 def settle(df: DataFrame, name: str = "table", by: list[str] | None = None) -> DataFrame:
     """Cut the lineage of ``df`` by writing it to the shared folder and reading it back.
 
@@ -80,6 +84,7 @@ def settle(df: DataFrame, name: str = "table", by: list[str] | None = None) -> D
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _SETTLED.setdefault(spark.sparkContext.applicationId, []).append(path)
     writer = df.write.mode("errorifexists")
     (writer.partitionBy(*by) if by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -87,11 +92,14 @@ def settle(df: DataFrame, name: str = "table", by: list[str] | None = None) -> D
 
 def discard(df: DataFrame) -> None:
     """Remove the files of a settled table once a later one replaces it."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
     for file in df.inputFiles()[:1]:
-        folder = jvm.org.apache.hadoop.fs.Path(os.path.dirname(file))
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        files.remove(os.path.dirname(file))
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove the tables settled so far, once no result that reads them is wanted any more."""
+    for path in _SETTLED.pop(spark.sparkContext.applicationId, []):
+        files.remove(path)
 
 
 def _folders(spark: SparkSession, path: str) -> list[str]:
