@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -105,12 +106,11 @@ def _gram_hashes(words: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.nda
 def _counts(words: list[str]) -> list[Counter]:
     """Kneser-Ney counts by order: raw for the longest, numbers of different predecessors below."""
     raw: list[Counter] = [Counter() for _ in range(ORDER + 1)]
-    for word in words:
+    for word, times in Counter(words).items():
         padded = "\x02" + word + "\x03"
         for end in range(1, len(padded) + 1):
-            for n in range(1, ORDER + 1):
-                if end - n >= 0:
-                    raw[n][padded[end - n : end]] += 1
+            for n in range(1, min(ORDER, end) + 1):
+                raw[n][padded[end - n : end]] += times
     counts: list[Counter] = [Counter(), *(Counter() for _ in range(ORDER))]
     counts[ORDER] = raw[ORDER]
     for n in range(1, ORDER):
@@ -122,61 +122,60 @@ def _counts(words: list[str]) -> list[Counter]:
     return counts
 
 
+def _table(counts: list[Counter]) -> tuple[list[str], np.ndarray]:
+    """All n-grams that any language has, and their counts by language."""
+    grams = sorted(set().union(*counts))
+    place = {gram: i for i, gram in enumerate(grams)}
+    table = np.zeros((len(grams), len(counts)))
+    for lang, c in enumerate(counts):
+        if c:
+            table[np.fromiter((place[g] for g in c), np.int64, len(c)), lang] = np.fromiter(c.values(), np.float64, len(c))
+    return grams, table
+
+
 def _train(words: dict[str, list[str]], alphabet: int) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray], np.ndarray, list[str]]:
     """Interpolated log probabilities of all n-grams and back-off weights of all contexts, a value per language."""
     langs = sorted(words)
     counts = [_counts(words[lang]) for lang in langs]
-    spent, weight = [], []  # by language: discount per order; context -> (total, different successors)
-    for c in counts:
-        discounts = [0.0] * (ORDER + 1)
-        totals: dict[str, list[int]] = defaultdict(lambda: [0, 0])
-        for n in range(1, ORDER + 1):
-            ones, twos = sum(v == 1 for v in c[n].values()), sum(v == 2 for v in c[n].values())
-            discounts[n] = min(0.95, max(0.1, ones / (ones + 2 * twos))) if ones + twos else 0.5
-            for gram, v in c[n].items():
-                total = totals[gram[:-1]]
-                total[0] += v
-                total[1] += 1
-        spent.append(discounts)
-        weight.append(totals)
     prob: dict[str, np.ndarray] = {}
-    base = np.array([spent[i][1] * weight[i][""][1] / max(1, weight[i][""][0]) if weight[i][""][0] else 1.0 for i in range(len(langs))]) / alphabet
+    back: dict[str, np.ndarray] = {}
+    unseen = np.ones(len(langs)) / alphabet
     for n in range(1, ORDER + 1):
-        for gram in set().union(*(c[n] for c in counts)):
-            lower = prob[gram[1:]] if n > 1 else base
-            p = np.empty(len(langs))
-            for i in range(len(langs)):
-                total, kinds = weight[i].get(gram[:-1], (0, 0))
-                if not total:
-                    p[i] = lower[i] if n > 1 else base[i]
-                else:
-                    d = spent[i][n]
-                    own = max(counts[i][n].get(gram, 0) - d, 0) / total
-                    p[i] = own + (d * kinds / total * lower[i] if n > 1 else base[i])
-            prob[gram] = p
-    back = {}
-    for context in set().union(*weight):
-        if context:
-            n = len(context) + 1
-            back[context] = np.array([np.log(spent[i][n] * w[1] / w[0]) if (w := weight[i].get(context)) and w[0] else 0.0 for i in range(len(langs))])
-    return {gram: np.log(p) for gram, p in prob.items()}, back, np.log(base), langs
+        grams, table = _table([c[n] for c in counts])
+        if not grams:
+            break
+        ones, twos = (table == 1).sum(0), (table == 2).sum(0)
+        discount = np.where(ones + twos > 0, np.clip(ones / np.maximum(1, ones + 2 * twos), 0.1, 0.95), 0.5)
+        contexts = list(dict.fromkeys(gram[:-1] for gram in grams))
+        place = {context: i for i, context in enumerate(contexts)}
+        of = np.fromiter((place[gram[:-1]] for gram in grams), np.int64, len(grams))
+        total, kinds = np.zeros((len(contexts), len(langs))), np.zeros((len(contexts), len(langs)))
+        np.add.at(total, of, table)
+        np.add.at(kinds, of, table > 0)
+        left = np.where(total > 0, discount * kinds / np.maximum(total, 1), 1.0)  # what the discounts leave to shorter n-grams
+        if n == 1:
+            unseen = left[0] / alphabet
+            lower = np.broadcast_to(unseen, table.shape)
+        else:
+            lower = left[of] * np.array([prob[gram[1:]] for gram in grams])
+            back |= {context: row for context, row in zip(contexts, np.log(left), strict=True)}
+        prob |= zip(grams, np.maximum(table - discount, 0) / np.maximum(total[of], 1) + lower, strict=True)
+    return {gram: np.log(p) for gram, p in prob.items()}, back, np.log(unseen), langs
 
 
 def _sorted(table: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    grams = list(table)
-    hashes = np.empty(len(grams), np.uint64)
-    for i, gram in enumerate(grams):
-        hashes[i] = _hash_of(gram)
+    grams = sorted(table, key=len)
+    hashes = np.concatenate([np.zeros(0, np.uint64), *(_hash_of(list(same), n) for n, same in groupby(grams, key=len))])
     order = np.argsort(hashes)
     return hashes[order], np.array([table[grams[i]] for i in order], np.float32)
 
 
-def _hash_of(gram: str) -> np.uint64:
-    one = _hashes(np.array([ord(c) for c in gram], np.uint32))
-    h = one[0]
+def _hash_of(grams: list[str], size: int) -> np.ndarray:
+    codes = _hashes(np.frombuffer("".join(grams).encode("utf-32-le"), np.uint32)).reshape(len(grams), size)
+    h = codes[:, 0]
     with np.errstate(over="ignore"):
-        for x in one[1:]:
-            h = (h * np.uint64(0xD6E8FEB86659FD93)) ^ (h >> np.uint64(31)) + x
+        for i in range(1, size):
+            h = (h * np.uint64(0xD6E8FEB86659FD93)) ^ (h >> np.uint64(31)) + codes[:, i]
     return h
 
 
@@ -184,10 +183,12 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def fit(samples: list[tuple[str, str]]) -> Model:
-    """Train on (language, sentence) rows; the rejection limits are calibrated on two held-out halves."""
+def fit(samples: list[tuple[str, str]], *, calibrated: bool = True) -> Model:
+    """Train on (language, sentence) rows; the rejection limits are calibrated on two held-out halves, or there are none."""
     langs = sorted({lang for lang, _ in samples})
     model = _fitted(samples, langs)
+    if not calibrated:
+        return model
     found = defaultdict(list)
     for half in (0, 1):
         held = _fitted(samples[half::2], langs)

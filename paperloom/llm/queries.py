@@ -73,7 +73,7 @@ def _papers(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, language
     some = some.orderBy(F.xxhash64("paper_id"), "paper_id").limit(language.ADAPT_TEXTS)  # bounded in rows and in each row
     named = works.join(F.broadcast(some), "key").groupBy("paper_id").agg(F.max(language.label_code(F.col("language"))).alias("code"), F.max("text").alias("text"))
     labelled = [(r.code, r.text) for r in named.where(F.col("code").isNotNull()).orderBy(F.xxhash64("paper_id"), "paper_id").collect()]  # at most ADAPT_TEXTS
-    return papers, works, language.adapt(language.fit(samples), samples, labelled)
+    return papers, works, language.adapt(language.fit(samples, calibrated=False), samples, labelled)
 
 
 def _identified(spark: SparkSession, d: str) -> DataFrame:
