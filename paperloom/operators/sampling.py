@@ -50,6 +50,7 @@ def matching_all(works: DataFrame, configs: DataFrame) -> DataFrame:
         on &= F.lower(F.col(f"{path}.display_name")) == F.lower(F.col(f"c_{level}"))
     until = F.to_date("c_to_publication_date")
     dated = (F.col("publication_date") >= F.to_date("c_from_publication_date")) & (until.isNull() | (F.col("publication_date") <= until))
+    works = works.drop(*(c for c in works.columns if c in named.columns))  # extra columns of a name that a configuration has
     return works.join(named, on).where(dated & F.col("abstract_inverted_index").isNotNull() & F.col("id").isNotNull())
 
 

@@ -55,6 +55,7 @@ def configs_with_topics(configs: DataFrame, catalog: DataFrame) -> DataFrame:
     names = [F.lower(F.col(f"{level}.display_name")).alias(f"n_{level}") for level in LEVELS[:3]] + [F.lower("display_name").alias("n_topic")]
     paths = catalog.select(F.col("id").alias("topic_id"), *names).distinct()
     paths = paths.groupBy(*(f"n_{level}" for level in LEVELS)).agg(F.min("topic_id").alias("topic_id"), F.count(F.lit(1)).alias("n_topics")).where(F.col("n_topics") == 1)
+    configs = configs.drop("topic_id", "n_topics", *(f"n_{level}" for level in LEVELS))  # extra columns of the result's names
     on = [F.lower(configs[level]) == paths[f"n_{level}"] for level in LEVELS]
     return configs.join(paths, on).drop("n_topics", *(f"n_{level}" for level in LEVELS))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,19 @@ from ..sources.tables import table
 from ..streaming import builder
 
 
+def of_works(schema: str):
+    """No works make no snapshot: the query then has no rows."""
+
+    def wrap(query):
+        @functools.wraps(query)
+        def run(spark: SparkSession, d: str) -> DataFrame:
+            return spark.createDataFrame([], schema) if table(spark, d, "works").isEmpty() else query(spark, d)
+
+        return run
+
+    return wrap
+
+
 def delivered(spark: SparkSession, d: str) -> str:
     """The works table as a snapshot by month of delivery, with its manifest; its path."""
     works = table(spark, d, "works")
@@ -35,6 +49,7 @@ def built(spark: SparkSession, d: str) -> str:
     return f"{source}-built"
 
 
+@of_works("type string, language string, n bigint, last string")
 def deliveries(spark: SparkSession, d: str) -> DataFrame:
     """Works delivered by type and language, from the snapshot by date."""
     path = delivered(spark, d)
@@ -42,12 +57,14 @@ def deliveries(spark: SparkSession, d: str) -> DataFrame:
     return snapshot.read_updates(spark, path).groupBy("type", "language").agg(F.count(F.lit(1)).alias("n"), F.max("publication_date").cast("string").alias("last"))
 
 
+@of_works("topic_id string, n bigint, first string, last string")
 def topic_partitions(spark: SparkSession, d: str) -> DataFrame:
     """Works of every topic partition."""
     data = spark.read.parquet(f"{built(spark, d)}/data")
     return data.groupBy(F.col("topic_id").cast("string").alias("topic_id")).agg(F.count(F.lit(1)).alias("n"), F.min("publication_date").cast("string").alias("first"), F.max("publication_date").cast("string").alias("last"))
 
 
+@of_works("topic_id string, id string, published string")
 def hottest_topic(spark: SparkSession, d: str) -> DataFrame:
     """All works of the topic with the most, read from its partition alone."""
     path = built(spark, d)
@@ -55,18 +72,21 @@ def hottest_topic(spark: SparkSession, d: str) -> DataFrame:
     return snapshot.read_topic(spark, path, top.topic_id).select("topic_id", "id", F.col("publication_date").cast("string").alias("published"))
 
 
+@of_works("id string, topic_id string")
 def indexed_topics(spark: SparkSession, d: str) -> DataFrame:
     """Topics of the works whose number is divisible by 20, found by the index."""
     ids = table(spark, d, "works").where(F.pmod(F.substring(work_key(F.col("id")), 2, 18).cast("bigint"), F.lit(20)) == 0)
     return snapshot.lookup_topics(spark, built(spark, d), ids).select("id", F.nullif("topic_id", F.lit("")).alias("topic_id"))
 
 
+@of_works("layout string, record_count bigint, topic_count bigint")
 def build_manifest(spark: SparkSession, d: str) -> DataFrame:
     """Rows and topics that the finished build counts."""
     manifest = snapshot.validate(built(spark, d))
     return spark.createDataFrame([(manifest["layout"], manifest["record_count"], manifest["topic_count"])], "layout string, record_count bigint, topic_count bigint")
 
 
+@of_works("topic_id string, year int, n bigint")
 def staged_rows(spark: SparkSession, d: str) -> DataFrame:
     """What the builder stages: works with id, abstract and topic, by topic and year."""
     rows = builder.staged(snapshot.read_updates(spark, delivered(spark, d)))
