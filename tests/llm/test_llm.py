@@ -266,6 +266,19 @@ def test_link(spark):
     assert {r.article_id: r.work_id for r in got} == {1: "W0", 2: "W1", 7: "W0", 8: "W4"} and all(0.8 <= r.confidence <= 1 for r in got)
 
 
+def test_no_table_is_broadcast(spark):
+    # The tables grow with the input and their rows take many times their files' size, so the driver must not build them.
+    def runs():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        found = spark._jsparkSession.sharedState().statusStore().executionsList()
+        return {(x := found.apply(i)).executionId(): x.physicalPlanDescription() for i in range(found.size())}
+
+    before = runs()
+    test_link(spark)
+    plans = [plan for k, plan in runs().items() if k not in before]
+    assert sum("SortMergeJoin" in p for p in plans) >= 5 and not any("BroadcastExchange" in p for p in plans)
+
+
 def graph(spark, left, rights):
     rows = spark.createDataFrame(list(enumerate(rights)), "right bigint, title string")
     return {r.right for r in linkage.edges(spark.createDataFrame([(0, left)], "left bigint, title string"), rows).collect()}
